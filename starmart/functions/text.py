@@ -14,13 +14,20 @@ WHITESPACE = (
 
 
 def clean(column: str | Column) -> Column:
-    """Text without white space at either end (tabs and line breaks too, unlike plain ``trim``)."""
-    return F.btrim(_column(column).cast("string"), F.lit(WHITESPACE))
+    """Text without white space at either end (tabs and line breaks too, unlike plain ``trim``).
+
+    Most values start and end with a printable ASCII character and pass unchanged; only the others
+    are searched for the longer list.
+    """
+    text = (F.col(column) if isinstance(column, str) else column).cast("string")
+    return F.when(_printable(F.ascii(text)) & _printable(F.ascii(F.substring(text, -1, 1))), text).otherwise(
+        F.btrim(text, F.lit(WHITESPACE))
+    )
 
 
 def clean_lower(column: str | Column) -> Column:
     return F.lower(clean(column))
 
 
-def _column(column: str | Column) -> Column:
-    return F.col(column) if isinstance(column, str) else column
+def _printable(code: Column) -> Column:
+    return (code > 32) & (code < 127)

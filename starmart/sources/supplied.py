@@ -6,24 +6,29 @@ values, not from dropped rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.sources import schemas
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+class SuppliedTables(Mapping):
+    """Raw tables by name over one folder; a supplied file is opened when a table that needs it is asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def __getitem__(self, name: str) -> DataFrame:
+        derive, files = DERIVED_FROM[name]
+        return derive(*[self.spark.read.parquet(f"{self.folder}/{file}.parquet") for file in files])
 
-    return {
-        "raw_customers": raw_customers(table("customer"), table("nation"), table("region")),
-        "raw_products": raw_products(table("part")),
-        "raw_channels": raw_channels(table("region")),
-        "raw_campaigns": raw_campaigns(table("supplier")),
-        "raw_sales": raw_sales(table("lineitem"), table("orders")),
-        "raw_marketing": raw_marketing(table("events")),
-    }
+    def __iter__(self):
+        return iter(DERIVED_FROM)
+
+    def __len__(self) -> int:
+        return len(DERIVED_FROM)
 
 
 def raw_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -156,6 +161,16 @@ def raw_marketing(events: DataFrame) -> DataFrame:
     )
 
 
+DERIVED_FROM = {
+    "raw_customers": (raw_customers, ("customer", "nation", "region")),
+    "raw_products": (raw_products, ("part",)),
+    "raw_channels": (raw_channels, ("region",)),
+    "raw_campaigns": (raw_campaigns, ("supplier",)),
+    "raw_sales": (raw_sales, ("lineitem", "orders")),
+    "raw_marketing": (raw_marketing, ("events",)),
+}
+
+
 def _cents(column: str, factor: int) -> Column:
     return F.round(F.col(column) * factor).cast("bigint")
 
