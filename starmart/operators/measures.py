@@ -28,7 +28,7 @@ MEASURES = {
         Measure("revenue", "total_revenue"),
         Measure("orders", "total_orders"),
         Measure("average_order_value", "total_revenue", "total_orders"),
-        Measure("total_gross_profit", "gross_profit"),
+        Measure("gross_profit", "gross_profit"),
         Measure("gross_margin", "gross_profit", "total_revenue"),
         # unit economics
         Measure("units", "total_units"),
@@ -132,14 +132,12 @@ def monthly_sales(sales: DataFrame, by: Iterable[str] = ()) -> DataFrame:
 
 
 def discounts(sales: DataFrame) -> DataFrame:
-    """Each order line counted, with a mark on the discounted ones."""
-    return sales.select(
-        month_of("date_key").alias("report_month"),
-        "product_key",
-        "discount_amount",
-        "gross_sales",
-        F.when(F.col("discount") > 0, 1).otherwise(0).alias("discounted_lines"),
-        F.lit(1).alias("lines"),
+    """Discount and list value per month and product, with the counts of all and of discounted lines."""
+    return sales.groupBy(month_of("date_key").alias("report_month"), "product_key").agg(
+        F.sum("discount_amount").alias("discount_amount"),
+        F.sum("gross_sales").alias("gross_sales"),
+        F.count_if(F.col("discount") > 0).alias("discounted_lines"),
+        F.count("*").alias("lines"),
     )
 
 
@@ -151,7 +149,7 @@ def campaign_results(sales: DataFrame, marketing: DataFrame) -> DataFrame:
     keys = ["report_month", "campaign_key", "channel_key"]
     month = month_of("date_key").alias("report_month")
     sold = sales.groupBy(month, *keys[1:]).agg(
-        F.sum(kept("net_sales")).alias("total_revenue"), F.sum(kept("gross_profit")).alias("gross_profit")
+        _money_sum(kept("net_sales")).alias("total_revenue"), _money_sum(kept("gross_profit")).alias("gross_profit")
     )
     return sold.join(spend(marketing, keys), keys, "full_outer")
 
@@ -160,8 +158,8 @@ def spend(marketing: DataFrame, keys: list[str]) -> DataFrame:
     acquisition = F.when(F.col("campaign_objective") == "acquisition", F.col("ad_spend"))
     rows = marketing.withColumn("report_month", month_of("date_key"))
     return rows.groupBy(*keys).agg(
-        F.sum("ad_spend").alias("total_ad_spend"),
-        F.coalesce(F.sum(acquisition), F.lit(0)).alias("acquisition_cost"),
+        _money_sum(F.col("ad_spend")).alias("total_ad_spend"),
+        F.coalesce(_money_sum(acquisition), F.lit(0)).alias("acquisition_cost"),
     )
 
 
@@ -176,3 +174,7 @@ def average_lifetime_revenue(customers: DataFrame, by: Iterable[str] = ()) -> Da
     return customers.groupBy(*by).agg(
         ratio(F.sum("lifetime_revenue"), F.count("lifetime_revenue")).alias("average_lifetime_revenue")
     )
+
+
+def _money_sum(column: Column) -> Column:
+    return F.sum(column).cast("decimal(28,2)")

@@ -48,8 +48,8 @@ class Mart:
     def table(self, name: str) -> DataFrame:
         return self.built[name] if name in self.built else getattr(self, name)
 
-    def tables(self, *names: str) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in names}
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.table(name)
 
     def lookup(self, name: str) -> DataFrame:
         """A dimension as the side of a join: broadcast when its row count, checked here, is within the
