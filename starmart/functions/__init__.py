@@ -1,12 +1,13 @@
 from starmart.functions.dates import month_of, months_apart, timestamp_literal
-from starmart.functions.keys import member_key, surrogate_key
+from starmart.functions.keys import key_sql, member_key_sql, surrogate_key
 from starmart.functions.numbers import percent_half_up, ratio
 from starmart.functions.text import clean, clean_lower
 
 __all__ = [
     "clean",
     "clean_lower",
-    "member_key",
+    "key_sql",
+    "member_key_sql",
     "month_of",
     "months_apart",
     "percent_half_up",

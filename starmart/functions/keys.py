@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_PART = "_null_"
 
+def key_sql(*parts: str) -> str:
+    """The key as SQL text; a key of literals is folded to a constant."""
+    shown = ", ".join(f"coalesce(cast({part} as string), '_null_')" for part in parts)
+    return f"md5(concat_ws('-', {shown}))"
 
-def surrogate_key(*columns: str | Column) -> Column:
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    return F.md5(F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit(NULL_PART)) for p in parts]))
 
+def surrogate_key(*columns: str) -> Column:
+    return F.expr(key_sql(*columns))
 
-def member_key(member: str) -> Column:
-    """Key of a special dimension member; a literal, so Catalyst folds the hash to a constant."""
-    return surrogate_key(F.lit(member))
+
+def member_key_sql(member: str) -> str:
+    """Key of a special dimension member."""
+    return key_sql(f"'{member}'")

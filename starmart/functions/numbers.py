@@ -6,14 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ratio(numerator: str | Column, denominator: str | Column) -> Column:
-    """Quotient as a double; NULL where the denominator is zero or either side is NULL."""
-    top, bottom = (F.col(c) if isinstance(c, str) else c for c in (numerator, denominator))
-    return F.try_divide(top.cast("double"), bottom.cast("double"))
+def ratio(numerator: str, denominator: str) -> Column:
+    """Quotient of two SQL expressions as a double; NULL where the denominator is zero or a side is NULL."""
+    return F.expr(f"try_divide(cast({numerator} as double), cast({denominator} as double))")
 
 
-def percent_half_up(part: Column, whole: Column) -> Column:
+def percent_half_up(part: str, whole: str) -> Column:
     """``part / whole`` in percent, two decimals, half up; in whole numbers so no double rounds it."""
-    part, whole = part.cast("bigint"), whole.cast("bigint")
-    hundredths = F.floor(F.try_divide((part * 20000 + whole).cast("decimal(20,0)"), whole * 2))
-    return hundredths.cast("double") / F.lit(100.0)
+    return F.expr(f"double(({part} * 20000 + {whole}) div (2 * {whole})) / 100.0D")

@@ -13,21 +13,22 @@ WHITESPACE = (
 )
 
 
-def clean(column: str | Column) -> Column:
+def clean_sql(column: str) -> str:
     """Text without white space at either end (tabs and line breaks too, unlike plain ``trim``).
 
     Most values start and end with a printable ASCII character and pass unchanged; only the others
     are searched for the longer list.
     """
-    text = (F.col(column) if isinstance(column, str) else column).cast("string")
-    return F.when(_printable(F.ascii(text)) & _printable(F.ascii(F.substring(text, -1, 1))), text).otherwise(
-        F.btrim(text, F.lit(WHITESPACE))
+    text = f"cast({column} as string)"
+    return (
+        f"CASE WHEN ascii({text}) BETWEEN 33 AND 126 AND ascii(substring({text}, -1, 1)) BETWEEN 33 AND 126 "
+        f"THEN {text} ELSE trim(BOTH '{WHITESPACE}' FROM {text}) END"
     )
 
 
-def clean_lower(column: str | Column) -> Column:
-    return F.lower(clean(column))
+def clean(column: str) -> Column:
+    return F.expr(clean_sql(column)).alias(column)
 
 
-def _printable(code: Column) -> Column:
-    return (code > 32) & (code < 127)
+def clean_lower(column: str) -> Column:
+    return F.expr(f"lower({clean_sql(column)})").alias(column)

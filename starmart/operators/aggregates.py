@@ -181,7 +181,7 @@ def agg_customer_cohort(sales: DataFrame, customers: DataFrame, params: MartPara
             "region",
             "cohort_size",
             "active_customers",
-            percent_half_up(F.col("active_customers"), F.col("cohort_size")).alias("retention_rate"),
+            percent_half_up("active_customers", "cohort_size").alias("retention_rate"),
         )
     )
     return with_loaded_at(table, params).orderBy("cohort_month", "region", offset)

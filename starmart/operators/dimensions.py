@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import clean_lower, member_key, surrogate_key
+from starmart.functions import clean_lower, member_key_sql, surrogate_key
 from starmart.functions.audit import with_loaded_at
 from starmart.params import UNATTRIBUTED, UNKNOWN, MartParams
 
+# The age bands (a missing age falls in the last one) and the customer statuses.
+AGE_BAND = """
+CASE
+    WHEN age < 18 THEN 'Under 18'
+    WHEN age <= 24 THEN '18-24'
+    WHEN age <= 34 THEN '25-34'
+    WHEN age <= 44 THEN '35-44'
+    WHEN age <= 54 THEN '45-54'
+    ELSE '55+'
+END
+"""
+CUSTOMER_STATUS = "CASE WHEN lifetime_orders IS NULL THEN 'prospect' WHEN lifetime_orders = 1 THEN 'new' ELSE 'returning' END"
+
 
 def dim_channels(channels: DataFrame) -> DataFrame:
     rows = channels.select(
@@ -46,7 +59,7 @@ def dim_products(products: DataFrame) -> DataFrame:
         "category",
         "brand",
         "supplier_id",
-        (F.col("price") - F.col("unit_cost")).cast("decimal(12,2)").alias("unit_margin"),
+        F.expr("cast(price - unit_cost as decimal(12,2))").alias("unit_margin"),
     )
     return with_members(rows, "product_key", UNKNOWN, empty=("supplier_id",))
 
@@ -73,35 +86,22 @@ def dim_customers(customers: DataFrame, sales: DataFrame, params: MartParams) ->
         "customer_id",
         "gender",
         "age",
-        age_band(F.col("age")).alias("age_band"),
+        F.expr(AGE_BAND).alias("age_band"),
         "country",
         "region",
         "city",
         "acquisition_date",
         "acquisition_channel",
-        clean_lower("acquisition_campaign").alias("acquisition_campaign"),
+        clean_lower("acquisition_campaign"),
         "first_purchase_date",
         "latest_purchase_date",
         "lifetime_orders",
         "lifetime_revenue",
-        F.when(F.col("lifetime_orders").isNull(), "prospect")
-        .when(F.col("lifetime_orders") == 1, "new")
-        .otherwise("returning")
-        .alias("customer_status"),
+        F.expr(CUSTOMER_STATUS).alias("customer_status"),
     )
     return with_loaded_at(with_members(rows, "customer_key", UNKNOWN, empty=("gender", "age")), params)
 
 
-def age_band(age: Column) -> Column:
-    """A missing age falls in the last band."""
-    # Exclusive upper age and label of each band.
-    bands = ((18, "Under 18"), (25, "18-24"), (35, "25-34"), (45, "35-44"), (55, "45-54"))
-    band = F.when(age < bands[0][0], bands[0][1])
-    for upper, label in bands[1:]:
-        band = band.when(age < upper, label)
-    return band.otherwise("55+")
-
-
 def with_members(
     rows: DataFrame, key: str, *members: str, empty: tuple[str, ...] = (), hashed: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -112,15 +112,16 @@ def with_members(
     literals, so they add no scan.
     """
 
-    def value(name: str, kind: str, member: str) -> Column:
-        if name == key or name in hashed:
-            return member_key(member)
-        if name in empty or kind == "date":
-            return F.lit(None)
-        return F.lit(member) if kind == "string" else F.lit(0)
-
     session = rows.sparkSession
     for member in members:
-        literals = [value(name, kind, member).cast(kind).alias(name) for name, kind in rows.dtypes]
-        rows = rows.unionByName(session.range(1).select(*literals))
+        literals = []
+        for name, kind in rows.dtypes:
+            if name == key or name in hashed:
+                value = member_key_sql(member)
+            elif name in empty or kind == "date":
+                value = "NULL"
+            else:
+                value = f"'{member}'" if kind == "string" else "0"
+            literals.append(f"cast({value} as {kind}) AS {name}")
+        rows = rows.unionByName(session.range(0, 1, 1, 1).selectExpr(*literals))
     return rows

@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import member_key, ratio, surrogate_key
+from starmart.functions import member_key_sql, ratio, surrogate_key
 from starmart.functions.audit import with_loaded_at
-from starmart.operators.calendar import resolve_date
+from starmart.operators.calendar import resolved_date_sql
 from starmart.params import UNATTRIBUTED, UNKNOWN, MartParams
 
 
@@ -25,8 +25,6 @@ def fact_sales(
     params: MartParams,
 ) -> DataFrame:
     """One row per order line, with the keys of the five dimensions."""
-    quantity, price, unit_cost = F.col("quantity"), F.col("price"), F.col("unit_cost")
-    refunded = F.col("refund_status") == "refunded"
     rows = (
         sales.join(customers.select("customer_id", "customer_key"), "customer_id", "left")
         .join(products.select("product_id", "product_key"), "product_id", "left")
@@ -35,7 +33,7 @@ def fact_sales(
         .select(
             surrogate_key("order_id", "product_id").alias("sales_key"),
             "order_id",
-            resolve_date(F.col("order_date"), params).alias("date_key"),
+            F.expr(resolved_date_sql("order_date", params)).alias("date_key"),
             _or_unknown("customer_key"),
             _or_unknown("product_key"),
             _attributed("channel_key", "channel"),
@@ -48,12 +46,12 @@ def fact_sales(
             "unit_cost",
             "discount",
             F.col("revenue").alias("net_sales"),
-            (quantity * price).cast("decimal(18,2)").alias("gross_sales"),
-            (quantity * unit_cost).cast("decimal(18,2)").alias("total_cost"),
-            (quantity * price * F.col("discount")).cast("decimal(18,4)").alias("discount_amount"),
-            (F.col("revenue") - quantity * unit_cost).cast("decimal(18,2)").alias("gross_profit"),
-            (price - unit_cost).cast("decimal(12,2)").alias("unit_margin"),
-            refunded.alias("is_refunded"),
+            F.expr("cast(quantity * price as decimal(18,2))").alias("gross_sales"),
+            F.expr("cast(quantity * unit_cost as decimal(18,2))").alias("total_cost"),
+            F.expr("cast(quantity * price * discount as decimal(18,4))").alias("discount_amount"),
+            F.expr("cast(revenue - quantity * unit_cost as decimal(18,2))").alias("gross_profit"),
+            F.expr("cast(price - unit_cost as decimal(12,2))").alias("unit_margin"),
+            F.expr("refund_status = 'refunded'").alias("is_refunded"),
         )
     )
     return with_loaded_at(rows, params)
@@ -66,7 +64,7 @@ def fact_marketing(marketing: DataFrame, channels: DataFrame, campaigns: DataFra
         .join(channels.select("channel_name", "channel_key"), "channel_name", "left")
         .select(
             surrogate_key("ads_id").alias("marketing_key"),
-            resolve_date(F.col("date"), params).alias("date_key"),
+            F.expr(resolved_date_sql("date", params)).alias("date_key"),
             _or_unknown("campaign_key"),
             _or_unknown("channel_key"),
             "ads_id",
@@ -86,10 +84,12 @@ def fact_marketing(marketing: DataFrame, channels: DataFrame, campaigns: DataFra
 
 
 def _or_unknown(key: str) -> Column:
-    return F.coalesce(key, member_key(UNKNOWN)).alias(key)
+    return F.expr(f"coalesce({key}, {member_key_sql(UNKNOWN)})").alias(key)
 
 
 def _attributed(key: str, natural: str) -> Column:
     """A row that names nothing is unattributed, one whose name has no match is unknown."""
-    named_nothing = F.col(natural).isNull() | (F.col(natural) == "")
-    return F.when(named_nothing, member_key(UNATTRIBUTED)).otherwise(F.coalesce(key, member_key(UNKNOWN))).alias(key)
+    return F.expr(
+        f"CASE WHEN {natural} IS NULL OR {natural} = '' THEN {member_key_sql(UNATTRIBUTED)} "
+        f"ELSE coalesce({key}, {member_key_sql(UNKNOWN)}) END"
+    ).alias(key)

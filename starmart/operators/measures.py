@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import month_of, ratio
@@ -78,7 +78,7 @@ def measure(rows: DataFrame, *names: str, by: Iterable[str] = (), where: Column
     return totals.select(
         *by,
         *[
-            (ratio(f"sum of {m.total}", f"sum of {m.per}") if m.per else F.col(f"sum of {m.total}")).alias(m.name)
+            (ratio(f"`sum of {m.total}`", f"`sum of {m.per}`") if m.per else F.col(f"sum of {m.total}")).alias(m.name)
             for m in wanted
         ],
     )
@@ -91,8 +91,8 @@ def share(rows: DataFrame, column: str, by: Iterable[str], within: Iterable[str]
     """
     by, within = list(by), list(within)
     totals = rows.groupBy(*by).agg(F.sum(column).alias(f"sum of {column}"))
-    context = F.sum(f"sum of {column}").over(Window.partitionBy(*within))
-    return totals.withColumn(name, ratio(F.col(f"sum of {column}"), context)).drop(f"sum of {column}")
+    context = f"sum(`sum of {column}`) OVER (PARTITION BY {', '.join(within)})"
+    return totals.withColumn(name, ratio(f"`sum of {column}`", context)).drop(f"sum of {column}")
 
 
 def monthly_customers(sales: DataFrame, customers: DataFrame, by: Iterable[str] = ()) -> DataFrame:
@@ -172,7 +172,7 @@ def acquisition_results(sales: DataFrame, marketing: DataFrame, customers: DataF
 def average_lifetime_revenue(customers: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     """Mean lifetime revenue of the customers that bought something not refunded, over their whole history."""
     return customers.groupBy(*by).agg(
-        ratio(F.sum("lifetime_revenue"), F.count("lifetime_revenue")).alias("average_lifetime_revenue")
+        ratio("sum(lifetime_revenue)", "count(lifetime_revenue)").alias("average_lifetime_revenue")
     )
 
 

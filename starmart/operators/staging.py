@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import clean, clean_lower
@@ -11,67 +11,67 @@ from starmart.sources.schemas import INGESTED_AT
 
 def stg_campaigns(raw: DataFrame) -> DataFrame:
     return raw.select(
-        _text("campaign_id"),
-        _lower("campaign_type"),
-        _lower("campaign_objective"),
-        _lower("channel"),
+        clean("campaign_id"),
+        clean_lower("campaign_type"),
+        clean_lower("campaign_objective"),
+        clean_lower("channel"),
         _date("start_date"),
         _date("end_date"),
         _money("total_revenue"),
-        _lower("campaign_name"),
+        clean_lower("campaign_name"),
         _money("budget"),
     )
 
 
 def stg_channels(raw: DataFrame) -> DataFrame:
-    return raw.select(_lower("channel_name"), _lower("channel_category"), _lower("traffic_type"))
+    return raw.select(clean_lower("channel_name"), clean_lower("channel_category"), clean_lower("traffic_type"))
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
     return raw.select(
-        _text("customer_id"),
-        _lower("gender"),
+        clean("customer_id"),
+        clean_lower("gender"),
         _whole("age"),
-        _lower("country"),
-        _lower("region"),
-        _lower("city"),
+        clean_lower("country"),
+        clean_lower("region"),
+        clean_lower("city"),
         _date("acquisition_date"),
-        _lower("acquisition_channel"),
-        _text("acquisition_campaign"),
+        clean_lower("acquisition_channel"),
+        clean("acquisition_campaign"),
     )
 
 
 def stg_products(raw: DataFrame) -> DataFrame:
     return raw.select(
-        _text("product_id"),
-        _lower("product_name"),
+        clean("product_id"),
+        clean_lower("product_name"),
         _money("price"),
-        _lower("sub_category"),
-        _lower("category"),
-        _lower("brand"),
-        _text("supplier_id"),
+        clean_lower("sub_category"),
+        clean_lower("category"),
+        clean_lower("brand"),
+        clean("supplier_id"),
         _money("unit_cost"),
     )
 
 
 def stg_sales(raw: DataFrame) -> DataFrame:
     rows = raw.select(
-        _text("order_id"),
-        _text("customer_id"),
-        _lower("customer_status"),
-        _text("product_id"),
-        _lower("product_name"),
-        _lower("category"),
-        _lower("ship_mode"),
+        clean("order_id"),
+        clean("customer_id"),
+        clean_lower("customer_status"),
+        clean("product_id"),
+        clean_lower("product_name"),
+        clean_lower("category"),
+        clean_lower("ship_mode"),
         _whole("quantity"),
         _money("discount"),
         _money("unit_cost"),
         _money("price"),
         _money("revenue"),
-        _lower("refund_status"),
+        clean_lower("refund_status"),
         _date("order_date"),
-        _lower("channel"),
-        _text("campaign_id"),
+        clean_lower("channel"),
+        clean("campaign_id"),
         INGESTED_AT,
     )
     return latest_copy(rows, ["order_id", "product_id"], [INGESTED_AT, "price", "quantity", "discount"])
@@ -79,16 +79,16 @@ def stg_sales(raw: DataFrame) -> DataFrame:
 
 def stg_marketing(raw: DataFrame) -> DataFrame:
     rows = raw.select(
-        _text("ads_id"),
-        _text("campaign_id"),
-        _lower("channel_name"),
-        _lower("campaign_objective"),
+        clean("ads_id"),
+        clean("campaign_id"),
+        clean_lower("channel_name"),
+        clean_lower("campaign_objective"),
         _date("date"),
         _money("ad_spend"),
         _whole("impressions"),
         _whole("clicks"),
         _whole("conversions"),
-        _lower("campaign_type"),
+        clean_lower("campaign_type"),
         INGESTED_AT,
     )
     return latest_copy(rows, ["ads_id"], [INGESTED_AT, "ad_spend"])
@@ -102,20 +102,9 @@ def latest_copy(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     per key, however many copies a key has. NULL key parts form keys like any other value.
     """
     rest = [c for c in rows.columns if c not in keys and c not in order]
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order, *rest]])
-    return (
-        rows.withColumn("copy_rank", F.row_number().over(window))
-        .filter(F.col("copy_rank") == 1)
-        .drop("copy_rank", INGESTED_AT)
-    )
-
-
-def _text(name: str) -> Column:
-    return clean(name).alias(name)
-
-
-def _lower(name: str) -> Column:
-    return clean_lower(name).alias(name)
+    latest = ", ".join(f"`{c}` DESC NULLS LAST" for c in [*order, *rest])
+    window = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {latest})"
+    return rows.withColumn("copy_rank", F.expr(window)).filter("copy_rank = 1").drop("copy_rank", INGESTED_AT)
 
 
 def _date(name: str) -> Column:

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from starmart.sources import schemas
 
@@ -33,134 +32,110 @@ class SuppliedTables(Mapping):
 
 def raw_customers(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    rows = customer.join(places, customer.c_nationkey == places.n_nationkey)
-    key = F.col("c_custkey")
-    return rows.select(
-        F.concat(F.when(key % 29 == 0, "CX").otherwise("C"), key.cast("string")).alias("customer_id"),
-        F.when(key % 2 == 0, " Female ").otherwise("MALE").alias("gender"),
-        F.when(key % 31 != 0, 15 + key % 60).alias("age"),
-        F.col("n_name").alias("country"),
-        F.when(key % 37 != 0, F.col("r_name")).alias("region"),
-        F.concat(F.lit("City "), F.col("c_nationkey").cast("string")).alias("city"),
-        F.date_add(F.lit("2019-01-01").cast("date"), (key % 2000).cast("int")).alias("acquisition_date"),
-        F.col("c_mktsegment").alias("acquisition_channel"),
-        F.concat(F.lit("K"), (key % 10).cast("string")).alias("acquisition_campaign"),
+    return customer.join(places, customer.c_nationkey == places.n_nationkey).selectExpr(
+        "CASE WHEN c_custkey % 29 = 0 THEN 'CX' ELSE 'C' END || c_custkey AS customer_id",
+        "CASE WHEN c_custkey % 2 = 0 THEN ' Female ' ELSE 'MALE' END AS gender",
+        "CASE WHEN c_custkey % 31 <> 0 THEN 15 + c_custkey % 60 END AS age",
+        "n_name AS country",
+        "CASE WHEN c_custkey % 37 <> 0 THEN r_name END AS region",
+        "'City ' || c_nationkey AS city",
+        "date_add(DATE'2019-01-01', int(c_custkey % 2000)) AS acquisition_date",
+        "c_mktsegment AS acquisition_channel",
+        "'K' || (c_custkey % 10) AS acquisition_campaign",
     )
 
 
 def raw_products(part: DataFrame) -> DataFrame:
-    key = F.col("p_partkey")
-    return part.select(
-        F.concat(F.when(key % 97 == 0, "PX").otherwise("P"), key.cast("string")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        _money(_cents("p_retailprice", 100)).alias("price"),
-        F.concat(F.lit("size "), (F.col("p_size") % 5).cast("string")).alias("sub_category"),
-        F.col("p_type").alias("category"),
-        F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")).alias("brand"),
-        F.lit(None).cast("string").alias("supplier_id"),
-        _money(_cents("p_retailprice", 60)).alias("unit_cost"),
+    return part.selectExpr(
+        "CASE WHEN p_partkey % 97 = 0 THEN 'PX' ELSE 'P' END || p_partkey AS product_id",
+        "p_name AS product_name",
+        f"{_money('round(p_retailprice * 100)')} AS price",
+        "'size ' || (p_size % 5) AS sub_category",
+        "p_type AS category",
+        "' ' || p_brand || ' ' AS brand",
+        "cast(NULL AS string) AS supplier_id",
+        f"{_money('round(p_retailprice * 60)')} AS unit_cost",
     )
 
 
 def raw_channels(region: DataFrame) -> DataFrame:
-    return region.select(
-        F.concat(F.lit("Channel "), F.col("r_regionkey").cast("string")).alias("channel_name"),
-        F.when(F.col("r_regionkey") == 2, "Organic").otherwise("Paid").alias("channel_category"),
-        F.concat(F.lit("\t"), F.col("r_name"), F.lit(" ")).alias("traffic_type"),
+    return region.selectExpr(
+        "'Channel ' || r_regionkey AS channel_name",
+        "CASE WHEN r_regionkey = 2 THEN 'Organic' ELSE 'Paid' END AS channel_category",
+        "'\t' || r_name || ' ' AS traffic_type",
     )
 
 
 def raw_campaigns(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    turn = key % 4
-    return supplier.select(
-        F.concat(F.lit("K"), key.cast("string")).alias("campaign_id"),
-        F.when(key % 2 == 0, "Acquisition").otherwise("Retargeting").alias("campaign_type"),
-        F.concat(F.lit("Channel "), F.when(turn == 3, "8").otherwise(turn.cast("string"))).alias("channel"),
-        F.lit("2024-01-01").cast("date").alias("start_date"),
-        F.lit("2024-12-31").cast("date").alias("end_date"),
-        F.lit(None).cast("decimal(12,2)").alias("total_revenue"),
-        F.col("s_name").alias("campaign_name"),
-        _money(_cents("s_acctbal", 100)).alias("budget"),
-        F.when(key % 3 == 0, "Acquisition").otherwise("Retention").alias("campaign_objective"),
+    return supplier.selectExpr(
+        "'K' || s_suppkey AS campaign_id",
+        "CASE WHEN s_suppkey % 2 = 0 THEN 'Acquisition' ELSE 'Retargeting' END AS campaign_type",
+        "'Channel ' || CASE WHEN s_suppkey % 4 = 3 THEN 8 ELSE s_suppkey % 4 END AS channel",
+        "DATE'2024-01-01' AS start_date",
+        "DATE'2024-12-31' AS end_date",
+        "cast(NULL AS decimal(12,2)) AS total_revenue",
+        "s_name AS campaign_name",
+        f"{_money('round(s_acctbal * 100)')} AS budget",
+        "CASE WHEN s_suppkey % 3 = 0 THEN 'Acquisition' ELSE 'Retention' END AS campaign_objective",
     )
 
 
 def raw_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).select(
+    # Orders grow with their lines, so this is a shuffle join at any size worth planning for.
+    lines = lineitem.join(orders.hint("merge"), lineitem.l_orderkey == orders.o_orderkey).selectExpr(
         "*",
-        F.col("l_quantity").cast("bigint").alias("units"),
-        F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)").alias("cents"),
-        _cents("l_discount", 100).alias("percent"),
-        (F.col("l_suppkey") % 10).alias("campaign"),
+        "bigint(l_quantity) AS units",
+        "bigint(round(l_extendedprice * 100)) div bigint(l_quantity) AS cents",
+        "bigint(round(l_discount * 100)) AS percent",
     )
-    return lines.select(
-        F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("order_id"),
-        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        F.col("o_orderstatus").alias("customer_status"),
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product_id"),
-        F.lit(None).cast("string").alias("product_name"),
-        F.lit(None).cast("string").alias("category"),
-        F.col("l_linestatus").alias("ship_mode"),
-        F.col("units").alias("quantity"),
-        _money(F.col("percent")).alias("discount"),
-        _money(F.expr("cents * 6 div 10")).alias("unit_cost"),
-        _money(F.col("cents")).alias("price"),
-        F.when(F.col("l_returnflag") == "R", "Refunded").otherwise("Completed").alias("refund_status"),
-        _money(F.expr("units * cents * (100 - percent) div 100")).alias("revenue"),
-        F.add_months(F.col("o_orderdate").cast("date"), 288).alias("order_date"),
-        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "")
-        .when(F.col("o_orderpriority") == "5-LOW", "Channel 9")
-        .otherwise(
-            F.concat(F.lit("CHANNEL "), (F.substring("o_orderpriority", 1, 1).cast("int") - 1).cast("string"))
-        )
-        .alias("channel"),
-        F.when(F.col("campaign") == 9, "X9")
-        .when(F.col("campaign") != 8, F.concat(F.lit("K"), F.col("campaign").cast("string")))
-        .alias("campaign_id"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias(schemas.INGESTED_AT),
+    return lines.selectExpr(
+        "'O' || l_orderkey AS order_id",
+        "'C' || o_custkey AS customer_id",
+        "o_orderstatus AS customer_status",
+        "'P' || l_partkey AS product_id",
+        "cast(NULL AS string) AS product_name",
+        "cast(NULL AS string) AS category",
+        "l_linestatus AS ship_mode",
+        "units AS quantity",
+        f"{_money('percent')} AS discount",
+        f"{_money('cents * 6 div 10')} AS unit_cost",
+        f"{_money('cents')} AS price",
+        "CASE WHEN l_returnflag = 'R' THEN 'Refunded' ELSE 'Completed' END AS refund_status",
+        f"{_money('units * cents * (100 - percent) div 100')} AS revenue",
+        "add_months(date(o_orderdate), 288) AS order_date",
+        """CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN '' WHEN '5-LOW' THEN 'Channel 9'
+           ELSE 'CHANNEL ' || (int(left(o_orderpriority, 1)) - 1) END AS channel""",
+        "CASE l_suppkey % 10 WHEN 9 THEN 'X9' WHEN 8 THEN NULL ELSE 'K' || (l_suppkey % 10) END AS campaign_id",
+        f"cast(l_shipdate AS timestamp_ntz) AS {schemas.INGESTED_AT}",
     )
 
 
 def raw_marketing(events: DataFrame) -> DataFrame:
     # Every 50th ad record was loaded a second time a day later, one cent dearer.
-    copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    kind = F.col("event_type")
-    rows = (
-        events.select(
-            "event_id",
-            "ts",
-            "event_type",
-            (F.col("event_id") % 10).alias("campaign"),
-            _cents("value", 100).alias("first_cents"),
-            F.explode(copies).alias("copy"),
-        )
-        .withColumn("cents", F.col("first_cents") + F.col("copy"))
-        .withColumn("clicks", F.when(kind == "error", F.lit(0).cast("bigint")).otherwise(F.col("cents") % 50))
-    )
-    return rows.select(
-        F.concat(F.lit("A"), F.col("event_id").cast("string")).alias("ads_id"),
-        F.concat(F.when(F.col("campaign") == 9, "X").otherwise("K"), F.col("campaign").cast("string")).alias(
-            "campaign_id"
-        ),
-        F.when(kind == "click", "Channel 0")
-        .when(kind == "view", "channel 1 ")
-        .when(kind == "purchase", "Channel 2")
-        .otherwise("Channel 9")
-        .alias("channel_name"),
-        F.col("ts").cast("date").alias("date"),
-        _money(F.col("cents")).alias("ad_spend"),
-        F.when(F.col("event_id") % 101 == 0, F.lit(0).cast("bigint"))
-        .otherwise(F.col("cents") * 10 + 100)
-        .alias("impressions"),
-        F.col("clicks"),
-        F.when(kind == "purchase", F.expr("clicks div 5")).otherwise(F.lit(0).cast("bigint")).alias("conversions"),
-        F.when(F.col("campaign") % 2 == 0, "Acquisition").otherwise("Retargeting").alias("campaign_type"),
-        F.when(F.col("campaign") % 3 == 0, "Acquisition").otherwise("Retention").alias("campaign_objective"),
-        (F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(F.col("copy"))).alias(schemas.INGESTED_AT),
+    records = events.selectExpr(
+        "*", "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    ).selectExpr("*", "bigint(round(value * 100)) + copy AS cents", "event_id % 10 AS campaign")
+    return records.selectExpr(
+        "'A' || event_id AS ads_id",
+        "CASE WHEN campaign = 9 THEN 'X' ELSE 'K' END || campaign AS campaign_id",
+        """CASE event_type WHEN 'click' THEN 'Channel 0' WHEN 'view' THEN 'channel 1 '
+           WHEN 'purchase' THEN 'Channel 2' ELSE 'Channel 9' END AS channel_name""",
+        "date(ts) AS date",
+        f"{_money('cents')} AS ad_spend",
+        "CASE WHEN event_id % 101 = 0 THEN 0 ELSE cents * 10 + 100 END AS impressions",
+        "CASE WHEN event_type = 'error' THEN 0 ELSE cents % 50 END AS clicks",
+        "CASE WHEN event_type = 'purchase' THEN cents % 50 div 5 ELSE 0 END AS conversions",
+        "CASE WHEN campaign % 2 = 0 THEN 'Acquisition' ELSE 'Retargeting' END AS campaign_type",
+        "CASE WHEN campaign % 3 = 0 THEN 'Acquisition' ELSE 'Retention' END AS campaign_objective",
+        f"cast(ts AS timestamp_ntz) + make_dt_interval(copy) AS {schemas.INGESTED_AT}",
     )
 
 
+def _money(cents: str) -> str:
+    """Whole cents as decimal(12,2), without a double on the way."""
+    return f"cast(cast({cents} AS decimal(12,0)) * cast(0.01 AS decimal(3,2)) AS decimal(12,2))"
+
+
 DERIVED_FROM = {
     "raw_customers": (raw_customers, ("customer", "nation", "region")),
     "raw_products": (raw_products, ("part",)),
@@ -169,12 +144,3 @@ DERIVED_FROM = {
     "raw_sales": (raw_sales, ("lineitem", "orders")),
     "raw_marketing": (raw_marketing, ("events",)),
 }
-
-
-def _cents(column: str, factor: int) -> Column:
-    return F.round(F.col(column) * factor).cast("bigint")
-
-
-def _money(cents: Column) -> Column:
-    """Whole cents as decimal(12,2), without a double on the way."""
-    return (cents.cast("decimal(12,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(12,2)")
