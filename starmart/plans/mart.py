@@ -188,5 +188,5 @@ def build_mart(
             sinks.write_fact(table, path)
         else:
             sinks.write_table(table, path)
-        mart.built[name] = spark.read.schema(table.schema).parquet(path)
+        mart.built[name] = spark.read.schema(table.schema).parquet(path).select(*table.columns)
     return {name: mart.table(name) for name in TABLES}

@@ -1,0 +1,144 @@
+"""Plans and results that must hold when tables are large and keys are hot."""
+
+from __future__ import annotations
+
+import re
+from contextlib import contextmanager
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.operators.aggregates import customers_and_orders
+from starmart.operators.staging import latest_copy
+from starmart.plans.mart import AGGREGATES, DIMENSIONS, FACTS, TABLES, Mart, build_mart
+from starmart.plans.queries import PARAMS, mart
+from starmart.sources.supplied import SuppliedTables
+
+FOLDER = "/root/testdata/sf0.001"
+SHUFFLING = replace(PARAMS, broadcast_rows=0)
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {"broadcast": "spark.sql.autoBroadcastJoinThreshold", "aqe": "spark.sql.adaptive.enabled",
+             "factor": "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+             "bytes": "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+             "advisory": "spark.sql.adaptive.advisoryPartitionSizeInBytes"}
+    before = {k: spark.conf.get(names[k], None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(names[k], v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(names[k]) if v is None else spark.conf.set(names[k], v)
+
+
+def plan(frame) -> str:
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def hot(rows):
+    """A third of the sales with one customer and one product, another third without channel."""
+    turn = F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3))
+    return rows.withColumns(
+        {
+            "customer_id": F.when(turn == 0, "C1").otherwise(F.col("customer_id")),
+            "order_id": F.when(turn == 1, "O1").otherwise(F.col("order_id")),
+            "channel": F.when(turn == 2, "").otherwise(F.col("channel")),
+        }
+    )
+
+
+def hot_mart(spark, params) -> Mart:
+    supplied = SuppliedTables(spark, FOLDER)
+    raw = {name: supplied[name] for name in supplied}
+    return Mart(spark, {**raw, "raw_sales": hot(raw["raw_sales"])}, params)
+
+
+@pytest.mark.parametrize("name", [*FACTS, *AGGREGATES])
+def test_same_rows_when_nothing_is_broadcast(spark, name):
+    usual = sorted(hot_mart(spark, PARAMS)[name].drop("loaded_at").collect(), key=str)
+    with settings(spark, broadcast="-1", factor="1.5", bytes="1KB", advisory="4KB"):
+        shuffled = hot_mart(spark, SHUFFLING)[name].drop("loaded_at")
+        assert sorted(shuffled.collect(), key=str) == usual
+    assert usual
+
+
+def test_hot_keys_are_split_in_the_fact_joins(spark):
+    with settings(spark, broadcast="-1", factor="1.5", bytes="1KB", advisory="4KB"):
+        fact = hot_mart(spark, SHUFFLING)["fact_sales"]
+        fact.collect()
+        assert "skew=true" in plan(fact)
+
+
+@pytest.mark.parametrize("name", [n for n in TABLES if n != "dim_date"])
+def test_no_pairs_of_everything(spark, name):
+    with settings(spark, aqe="false"):
+        text = plan(mart(spark, FOLDER)[name])
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "PythonUDF" not in text and "ArrowEvalPython" not in text
+
+
+def test_copies_are_cut_before_the_shuffle(spark):
+    with settings(spark, aqe="false"):
+        text = plan(mart(spark, FOLDER)["stg_sales"])
+    limits = [m.start() for m in re.finditer("WindowGroupLimit", text)]
+    exchange = text.index("Exchange hashpartitioning(order_id")
+    assert limits[0] < exchange < limits[1]
+
+
+def test_distinct_counts_double_the_rows_and_no_more(spark):
+    with settings(spark, aqe="false"):
+        text = plan(mart(spark, FOLDER)["agg_growth_daily"])
+    expand = re.search(r"Expand \[(.*?)\], \[", text).group(1)
+    assert text.count("Expand [") == 1 and expand.count("], [") == 0 or expand.count("[") <= 2
+
+
+def test_entity_counts_against_brute_force(spark):
+    rows = spark.range(3000).select(
+        F.pmod("id", F.lit(4)).alias("g"),
+        F.when(F.pmod("id", F.lit(3)) == 0, "hot").otherwise(F.concat(F.lit("c"), F.pmod("id", F.lit(50)))).alias("customer_key"),
+        F.when(F.pmod("id", F.lit(11)) != 0, F.concat(F.lit("o"), F.pmod("id", F.lit(700)))).alias("order_id"),
+        (F.col("id") % 7).cast("decimal(12,2)").alias("revenue"),
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("decimal(12,2)")).alias("gross_profit"),
+        (F.pmod("id", F.lit(3)) == 0).alias("flag"),
+    )
+    got = {r["g"]: r for r in customers_and_orders(rows, ["g"], flags=("flag",)).collect()}
+    data = rows.collect()
+    for g in range(4):
+        mine = [r for r in data if r["g"] == g]
+        assert got[g]["total_customers"] == len({r["customer_key"] for r in mine})
+        assert got[g]["flag"] == len({r["customer_key"] for r in mine if r["flag"]})
+        assert got[g]["total_orders"] == len({r["order_id"] for r in mine} - {None})
+        assert got[g]["total_revenue"] == sum(r["revenue"] for r in mine)
+        assert got[g]["gross_profit"] == sum(r["gross_profit"] or 0 for r in mine)
+
+
+def test_ties_do_not_depend_on_the_spread(spark):
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 20).alias("k"), F.lit(1).alias("stamp"), "id"
+    ).withColumnRenamed("id", "payload")
+    results = [sorted(latest_copy(rows.repartition(n), ["k"], ["stamp"]).collect()) for n in (1, 7)]
+    assert results[0] == results[1]
+
+
+def test_written_mart_equals_the_lazy_one(spark, folder):
+    built = build_mart(spark, SuppliedTables(spark, FOLDER), folder, PARAMS)
+    lazy = mart(spark, FOLDER)
+    for name in DIMENSIONS + FACTS + AGGREGATES:
+        assert built[name].schema.simpleString() == lazy[name].schema.simpleString()
+        assert sorted(built[name].collect(), key=str) == sorted(lazy[name].collect(), key=str), name
+    months = spark.read.parquet(f"{folder}/fact_sales").select("date_key", "date_key_month")
+    assert months.filter("trunc(date_key, 'month') <> date_key_month").isEmpty()
+
+
+def test_written_aggregates_read_few_columns(spark, folder):
+    built = build_mart(spark, SuppliedTables(spark, FOLDER), folder, PARAMS)
+    again = Mart(spark, {}, PARAMS, built={n: built[n] for n in DIMENSIONS + FACTS})
+    with settings(spark, aqe="false"):
+        text = again["agg_customer_segment"]._jdf.queryExecution().executedPlan().toString()
+    fact_scan = next(line for line in text.splitlines() if "fact_sales" in line)
+    for unused in ("sales_key", "gross_sales", "ship_mode", "product_key"):
+        assert unused not in fact_scan
