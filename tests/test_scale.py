@@ -24,7 +24,8 @@ def settings(spark, **values):
     names = {"broadcast": "spark.sql.autoBroadcastJoinThreshold", "aqe": "spark.sql.adaptive.enabled",
              "factor": "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
              "bytes": "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-             "advisory": "spark.sql.adaptive.advisoryPartitionSizeInBytes"}
+             "advisory": "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "coalesce": "spark.sql.adaptive.coalescePartitions.enabled"}
     before = {k: spark.conf.get(names[k], None) for k in values}
     for k, v in values.items():
         spark.conf.set(names[k], v)
@@ -67,7 +68,7 @@ def test_same_rows_when_nothing_is_broadcast(spark, name):
 
 
 def test_hot_keys_are_split_in_the_fact_joins(spark):
-    with settings(spark, broadcast="-1", factor="1.5", bytes="1KB", advisory="4KB"):
+    with settings(spark, broadcast="-1", factor="1.5", bytes="1KB", advisory="4KB", coalesce="false"):
         fact = hot_mart(spark, SHUFFLING)["fact_sales"]
         fact.collect()
         assert "skew=true" in plan(fact)
@@ -92,8 +93,8 @@ def test_copies_are_cut_before_the_shuffle(spark):
 def test_distinct_counts_double_the_rows_and_no_more(spark):
     with settings(spark, aqe="false"):
         text = plan(mart(spark, FOLDER)["agg_growth_daily"])
-    expand = re.search(r"Expand \[(.*?)\], \[", text).group(1)
-    assert text.count("Expand [") == 1 and expand.count("], [") == 0 or expand.count("[") <= 2
+    expands = re.findall(r"Expand \[(\[.*?\])\], \[", text)
+    assert [e.count("[") for e in expands] == [2]
 
 
 def test_entity_counts_against_brute_force(spark):
@@ -113,7 +114,8 @@ def test_entity_counts_against_brute_force(spark):
         assert got[g]["flag"] == len({r["customer_key"] for r in mine if r["flag"]})
         assert got[g]["total_orders"] == len({r["order_id"] for r in mine} - {None})
         assert got[g]["total_revenue"] == sum(r["revenue"] for r in mine)
-        assert got[g]["gross_profit"] == sum(r["gross_profit"] or 0 for r in mine)
+        profits = [r["gross_profit"] for r in mine if r["gross_profit"] is not None]
+        assert got[g]["gross_profit"] == (sum(profits) if profits else None)
 
 
 def test_ties_do_not_depend_on_the_spread(spark):
@@ -139,6 +141,6 @@ def test_written_aggregates_read_few_columns(spark, folder):
     again = Mart(spark, {}, PARAMS, built={n: built[n] for n in DIMENSIONS + FACTS})
     with settings(spark, aqe="false"):
         text = again["agg_customer_segment"]._jdf.queryExecution().executedPlan().toString()
-    fact_scan = next(line for line in text.splitlines() if "fact_sales" in line)
+    fact_scan = next(line for line in text.splitlines() if "FileScan" in line and "order_id" in line)
     for unused in ("sales_key", "gross_sales", "ship_mode", "product_key"):
         assert unused not in fact_scan
