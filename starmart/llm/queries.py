@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import neighbours, quality_rules, sharding, toxicity
+from starmart.llm import decontamination, main_text, neighbours, quality_rules, sharding, toxicity
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,14 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.score_documents(docs.select("doc_id", "text"), labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_text(table(spark, folder, "pages"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2:3].isdigit()
 }
