@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontamination, main_text, neighbours, packing, quality_rules, sharding, toxicity
+from starmart.llm import decontamination, main_text, neighbours, packing, quality_rules, sharding, toxicity, url_filter
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
