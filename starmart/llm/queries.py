@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontamination, main_text, neighbours, packing, quality_rules, sharding, toxicity, url_filter
+from starmart.llm import decontamination, lattice, main_text, neighbours, packing, quality_rules, sharding, toxicity, url_filter
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.score_documents(table(spark, folder, "documents"))
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(spark, folder, "documents"))
 
