@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontamination, lattice, main_text, neighbours, packing, quality_rules, sharding, toxicity, url_filter
+from starmart.llm import decontamination, lattice, main_text, neardup, neighbours, packing, quality_rules, sharding, toxicity, url_filter
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents"))
 
