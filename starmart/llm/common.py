@@ -90,19 +90,32 @@ def labelled_sample(labels: DataFrame, docs: DataFrame, label: str, per_class: i
     return texts.join(F.broadcast(sample), "doc_id"), share
 
 
-def scores(docs: DataFrame, score, rows: int = 256) -> DataFrame:
-    """``docs`` with a column ``_score``; ``score`` maps a list of texts to numbers, a few hundred rows at a time.
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with as many ``_`` as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_text_value(docs: DataFrame, value, kind: T.DataType, name: str, rows: int = 256) -> DataFrame:
+    """``docs`` with a column ``name``; ``value`` maps a list of texts to a list, a few hundred rows at a time.
 
     All columns of ``docs`` pass through untouched, whatever their names, so the rows need no join.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    arrow = pa.float64() if isinstance(kind, T.DoubleType) else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 part = batch.slice(start, rows)
                 texts = ["" if t is None else t for t in part.column(part.schema.get_field_index("text")).to_pylist()]
-                values = pa.array([float(x) for x in score(texts)], pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, values], [*part.schema.names, "_score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(value(texts), arrow)], [*part.schema.names, name])
 
     return docs.mapInArrow(run, schema)
+
+
+def with_score(docs: DataFrame, score, name: str) -> DataFrame:
+    """``score`` maps texts to numbers."""
+    return with_text_value(docs, lambda texts: [float(x) for x in score(texts)], T.DoubleType(), name)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import scores, text_of
+from starmart.llm.common import free_name, text_of, with_score
 
 
 @dataclass(frozen=True)
@@ -193,5 +193,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, params: AlignParams = A
     for items in item_blocks(benchmark, params):
         shared = docs.sparkSession.sparkContext.broadcast(seeds_of(docs, items, params))
         best = lambda texts, shared=shared: [max((m[1] for m in shared.value.found(t)), default=0.0) for t in texts]
-        docs = scores(docs, best).filter(F.col("_score") < params.threshold).drop("_score")
+        name = free_name(docs, "_score")
+        docs = with_score(docs, best, name).filter(F.col(name) < params.threshold).drop(name)
     return docs

@@ -21,8 +21,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starmart.llm.common import cut, scratch, text_of
+from starmart.llm.common import cut, free_name, scratch, text_of, with_text_value
 
 
 @dataclass(frozen=True)
@@ -279,3 +280,32 @@ def dealt(mixed: DataFrame, params: JoinParams) -> DataFrame:
     spread = rows.filter(~small).withColumn("m", F.explode(meets)).select("path", "class", "comp", "sketch", F.xxhash64("path", "m.q", "m.b").alias("part"), F.col("m.o").alias("outside"))
     together = rows.filter(small).select("path", "class", "comp", "sketch", F.pmod(F.xxhash64("path"), F.lit(groups)).alias("part"), "outside")
     return together.union(spread)
+
+
+def without_near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
+    """One row of each component, all columns as they were: of those with the component's id, any one.
+
+    Rows without shingles all stay. What goes is joined by id and class, so that wide rows are shuffled only where the
+    ids to drop are too many to broadcast, and rows that repeat an id and a text.
+    """
+    result = cut(near_duplicates(docs, params).filter("class is not null").select("doc_id", "class", "kept"))
+    keys = result.groupBy("doc_id", "class").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
+    keys = cut(keys.filter("not kept or n > 1"))
+    gone, again = keys.filter("not kept"), keys.filter("kept")
+    name = free_name(docs, "_class")
+
+    def classes(texts: list[str]) -> list:
+        found = [shingles(text, params.words) for text in texts]
+        return [class_of(h) if len(h) else None for h in found]
+
+    rows = with_text_value(docs, classes, T.LongType(), name)
+
+    def of(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias("_id_of_key"), F.col("class").alias("_class_of_key"))
+        keys = F.broadcast(keys) if keys.count() <= params.broadcast_ids else keys
+        return rows.join(keys, rows["doc_id"].eqNullSafe(keys["_id_of_key"]) & (rows[name] == keys["_class_of_key"]), how)
+
+    kept = of(rows, gone, "left_anti")
+    if not again.isEmpty():
+        kept = of(kept, again, "left_anti").union(of(kept, again, "left_semi").dropDuplicates(["doc_id", name]))
+    return kept.drop(name)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import fold, labelled_sample, scores
+from starmart.llm.common import fold, free_name, labelled_sample, with_score
 
 
 @dataclass(frozen=True)
@@ -145,9 +145,18 @@ def score_documents(docs: DataFrame, labels: DataFrame, params: NeighbourParams
     """
     model = fit(docs, labels, params)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = scores(docs.drop("held_out", "score", "predicted", "_score"), lambda texts: shared.value.score(texts))
-    return (
-        scored.withColumn("held_out", fold("doc_id", 4) == 2)
-        .withColumnRenamed("_score", "score")
-        .withColumn("predicted", (F.col("score") >= params.threshold).cast("int"))
-    )
+    scored = with_score(docs.drop("held_out", "score", "predicted"), lambda texts: shared.value.score(texts), "score")
+    return scored.withColumn("held_out", fold("doc_id", 4) == 2).withColumn("predicted", (F.col("score") >= params.threshold).cast("int"))
+
+
+def passing(docs: DataFrame, labels: DataFrame, params: NeighbourParams = NeighbourParams()) -> DataFrame:
+    """The rows of ``docs`` that are predicted to be of good quality, all columns as they were.
+
+    Without labels to learn from nothing is known against any row: all stay.
+    """
+    model = fit(docs, labels, params)
+    if not len(model.labels):
+        return docs
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), free_name(docs, "_score")
+    scored = with_score(docs, lambda texts: shared.value.score(texts), name)
+    return scored.filter(F.col(name) >= params.threshold).drop(name)
