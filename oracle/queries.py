@@ -8,7 +8,7 @@ from starmart.operators import checks
 MART = [name for name in TABLES if name.startswith(("stg_", "dim_", "fact_", "agg_")) and name != "dim_date"]
 
 
-def total(column: str, alias: str, scale: int = 2) -> str:
+def total(column: str, alias: str, scale: int = 9) -> str:
     return f"cast(sum({column}) as decimal(38,{scale})) as {alias}"
 
 
@@ -108,8 +108,8 @@ select region, customer_status,
        {quotient("sum(lifetime_revenue)", "count(lifetime_revenue)")} as average_lifetime_revenue
 from dim_customers group by 1, 2""",
     "kpi_acquisition": f"""
-select report_month, cast(total_ad_spend as decimal(38,2)) as ad_spend,
-       cast(acquisition_cost as decimal(38,2)) as acquisition_spend, new_customers as new_customer_count,
+select report_month, cast(total_ad_spend as decimal(38,9)) as ad_spend,
+       cast(acquisition_cost as decimal(38,9)) as acquisition_spend, new_customers as new_customer_count,
        {quotient("acquisition_cost", "new_customers")} as customer_acquisition_cost
 from acquisition""",
     "kpi_roas": f"""

@@ -1,6 +1,6 @@
 from starmart.functions.dates import month_of, months_apart, timestamp_literal
 from starmart.functions.keys import key_sql, member_key_sql, surrogate_key
-from starmart.functions.numbers import percent_half_up, ratio
+from starmart.functions.numbers import percent_half_up, ratio, unit_margin_sql
 from starmart.functions.text import clean, clean_lower
 
 __all__ = [
@@ -14,4 +14,5 @@ __all__ = [
     "ratio",
     "surrogate_key",
     "timestamp_literal",
+    "unit_margin_sql",
 ]

@@ -210,7 +210,7 @@ def agg_sales_daily(
         F.count_distinct("order_id").alias("total_orders"),
         _money_sum(kept("net_sales")).alias("total_revenue"),
         F.sum(kept("quantity")).alias("total_units"),
-        F.sum(kept("discount_amount")).cast("decimal(28,4)").alias("total_discount"),
+        F.sum(kept("discount_amount")).cast("decimal(38,9)").alias("total_discount"),
         _money_sum(kept("gross_profit")).alias("gross_profit"),
     )
     measures = ["total_revenue", "total_orders", "total_units", "total_discount", "gross_profit"]
@@ -304,7 +304,7 @@ def _funnel() -> list[Column]:
 
 
 def _money_sum(column: str | Column) -> Column:
-    return F.sum(column).cast("decimal(28,2)")
+    return F.sum(column).cast("decimal(38,9)")
 
 
 def _zero_filled(*columns: str) -> list[Column]:

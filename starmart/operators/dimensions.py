@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import clean_lower, member_key_sql, surrogate_key
+from starmart.functions import clean_lower, member_key_sql, surrogate_key, unit_margin_sql
 from starmart.functions.audit import with_loaded_at
 from starmart.params import UNATTRIBUTED, UNKNOWN, MartParams
 
@@ -59,7 +59,7 @@ def dim_products(products: DataFrame) -> DataFrame:
         "category",
         "brand",
         "supplier_id",
-        F.expr("cast(price - unit_cost as decimal(12,2))").alias("unit_margin"),
+        F.expr(unit_margin_sql()).alias("unit_margin"),
     )
     return with_members(rows, "product_key", UNKNOWN, empty=("supplier_id",))
 
@@ -75,7 +75,7 @@ def customer_orders(sales: DataFrame) -> DataFrame:
         F.max("order_date").alias("latest_purchase_date"),
         F.count_distinct("order_id").alias("lifetime_orders"),
         F.sum(F.when(F.col("refund_status") != "refunded", F.col("revenue")))
-        .cast("decimal(28,2)")
+        .cast("decimal(38,9)")
         .alias("lifetime_revenue"),
     )
 

@@ -10,12 +10,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import member_key_sql, ratio, surrogate_key
+from starmart.functions import member_key_sql, ratio, surrogate_key, unit_margin_sql
 from starmart.functions.audit import with_loaded_at
 from starmart.operators.calendar import resolved_date_sql
 from starmart.params import UNATTRIBUTED, UNKNOWN, MartParams
 
 
+#: Products of amounts. Precision 28 leaves room for nine decimals in a further product with a discount; an amount or
+#: a quantity too large for it is an error under Spark's default ANSI mode, not a NULL.
+PRODUCT = "decimal(28,9)"
+
+
+def _times(count: str, amount: str) -> str:
+    return f"cast(cast({count} as decimal(10,0)) * cast({amount} as decimal(20,9)) as {PRODUCT})"
+
+
 def fact_sales(
     sales: DataFrame,
     customers: DataFrame,
@@ -46,11 +55,11 @@ def fact_sales(
             "unit_cost",
             "discount",
             F.col("revenue").alias("net_sales"),
-            F.expr("cast(quantity * price as decimal(18,2))").alias("gross_sales"),
-            F.expr("cast(quantity * unit_cost as decimal(18,2))").alias("total_cost"),
-            F.expr("cast(quantity * price * discount as decimal(18,4))").alias("discount_amount"),
-            F.expr("cast(revenue - quantity * unit_cost as decimal(18,2))").alias("gross_profit"),
-            F.expr("cast(price - unit_cost as decimal(12,2))").alias("unit_margin"),
+            F.expr(_times("quantity", "price")).alias("gross_sales"),
+            F.expr(_times("quantity", "unit_cost")).alias("total_cost"),
+            F.expr(f"cast({_times('quantity', 'price')} * discount as {PRODUCT})").alias("discount_amount"),
+            F.expr(f"cast(cast(revenue as {PRODUCT}) - {_times('quantity', 'unit_cost')} as {PRODUCT})").alias("gross_profit"),
+            F.expr(unit_margin_sql()).alias("unit_margin"),
             F.expr("refund_status = 'refunded'").alias("is_refunded"),
         )
     )

@@ -177,4 +177,4 @@ def average_lifetime_revenue(customers: DataFrame, by: Iterable[str] = ()) -> Da
 
 
 def _money_sum(column: Column) -> Column:
-    return F.sum(column).cast("decimal(28,2)")
+    return F.sum(column).cast("decimal(38,9)")

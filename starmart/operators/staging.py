@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import clean, clean_lower
-from starmart.sources.schemas import INGESTED_AT
+from starmart.sources.schemas import DISCOUNT, INGESTED_AT, MONEY
 
 
 def stg_campaigns(raw: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def stg_sales(raw: DataFrame) -> DataFrame:
         clean_lower("category"),
         clean_lower("ship_mode"),
         _whole("quantity"),
-        _money("discount"),
+        _discount("discount"),
         _money("unit_cost"),
         _money("price"),
         _money("revenue"),
@@ -112,7 +112,11 @@ def _date(name: str) -> Column:
 
 
 def _money(name: str) -> Column:
-    return F.col(name).try_cast("decimal(12,2)").alias(name)
+    return F.col(name).try_cast(MONEY).alias(name)
+
+
+def _discount(name: str) -> Column:
+    return F.col(name).try_cast(DISCOUNT).alias(name)
 
 
 def _whole(name: str) -> Column:

@@ -6,7 +6,9 @@ from pyspark.sql import types as T
 
 TEXT = T.StringType()
 WHOLE = T.LongType()
-MONEY = T.DecimalType(12, 2)
+#: Amounts keep nine decimals from ingest to fact; products and sums are computed at the same scale.
+MONEY = T.DecimalType(38, 9)
+DISCOUNT = T.DecimalType(10, 9)
 DAY = T.DateType()
 
 
@@ -56,7 +58,7 @@ SALES = _schema(
     category=TEXT,
     ship_mode=TEXT,
     quantity=WHOLE,
-    discount=MONEY,
+    discount=DISCOUNT,
     unit_cost=MONEY,
     price=MONEY,
     refund_status=TEXT,

@@ -73,9 +73,9 @@ def raw_campaigns(supplier: DataFrame) -> DataFrame:
         "'Channel ' || CASE WHEN s_suppkey % 4 = 3 THEN 8 ELSE s_suppkey % 4 END AS channel",
         "DATE'2024-01-01' AS start_date",
         "DATE'2024-12-31' AS end_date",
-        "cast(NULL AS decimal(12,2)) AS total_revenue",
+        "cast(NULL AS decimal(38,9)) AS total_revenue",
         "s_name AS campaign_name",
-        f"{_money('round(s_acctbal * 100)')} AS budget",
+        f"{_money('round(s_acctbal * 100) + CASE WHEN s_suppkey % 7 = 3 THEN 1234567890150 ELSE 0 END')} AS budget",
         "CASE WHEN s_suppkey % 3 = 0 THEN 'Acquisition' ELSE 'Retention' END AS campaign_objective",
     )
 
@@ -85,8 +85,10 @@ def raw_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     lines = lineitem.join(orders.hint("merge"), lineitem.l_orderkey == orders.o_orderkey).selectExpr(
         "*",
         "bigint(l_quantity) AS units",
-        "bigint(round(l_extendedprice * 100)) div bigint(l_quantity) AS cents",
-        "bigint(round(l_discount * 100)) AS percent",
+        # some prices beyond ten digits, some discounts of three places
+        "bigint(round(l_extendedprice * 100)) div bigint(l_quantity) "
+        "+ CASE WHEN l_orderkey % 499 = 0 THEN 1234567890150 ELSE 0 END AS cents",
+        "bigint(round(l_discount * 1000)) + CASE WHEN l_orderkey % 17 = 0 THEN 5 ELSE 0 END AS permille",
     )
     return lines.selectExpr(
         "'O' || l_orderkey AS order_id",
@@ -97,11 +99,11 @@ def raw_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "cast(NULL AS string) AS category",
         "l_linestatus AS ship_mode",
         "units AS quantity",
-        f"{_money('percent')} AS discount",
+        "cast(cast(permille AS decimal(6,0)) * cast(0.001 AS decimal(4,3)) AS decimal(10,9)) AS discount",
         f"{_money('cents * 6 div 10')} AS unit_cost",
         f"{_money('cents')} AS price",
         "CASE WHEN l_returnflag = 'R' THEN 'Refunded' ELSE 'Completed' END AS refund_status",
-        f"{_money('units * cents * (100 - percent) div 100')} AS revenue",
+        f"{_money('units * cents * (1000 - permille) div 1000')} AS revenue",
         "add_months(date(o_orderdate), 288) AS order_date",
         """CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN '' WHEN '5-LOW' THEN 'Channel 9'
            ELSE 'CHANNEL ' || (int(left(o_orderpriority, 1)) - 1) END AS channel""",
@@ -132,8 +134,8 @@ def raw_marketing(events: DataFrame) -> DataFrame:
 
 
 def _money(cents: str) -> str:
-    """Whole cents as decimal(12,2), without a double on the way."""
-    return f"cast(cast({cents} AS decimal(12,0)) * cast(0.01 AS decimal(3,2)) AS decimal(12,2))"
+    """Whole cents as an amount, without a double on the way."""
+    return f"cast(cast({cents} AS decimal(18,0)) * cast(0.01 AS decimal(3,2)) AS decimal(38,9))"
 
 
 DERIVED_FROM = {

@@ -123,11 +123,11 @@ def test_types_that_do_not_parse_become_null(spark):
     )
     got = normalize.normalize_types(arrived, schemas.SALES)
     assert dict(got.dtypes) == {
-        "quantity": "bigint", "price": "decimal(12,2)", "order_date": "date", "note": "string",
+        "quantity": "bigint", "price": "decimal(38,9)", "order_date": "date", "note": "string",
     }
     rows = got.collect()
     assert [r["quantity"] for r in rows] == [1, 3, None, None]
-    assert [None if r["price"] is None else str(r["price"]) for r in rows] == ["12.35", None, None, "7.00"]
+    assert [None if r["price"] is None else str(r["price"]) for r in rows] == ["12.345000000", None, None, "7.000000000"]
     assert [r["order_date"] for r in rows] == [day("2024-02-29"), None, day("2024-05-01"), None]
     assert [r["note"] for r in rows] == ["x", None, "", "y"]
     numbers = spark.sql("select 3.7D as quantity, 5 as age, cast(null as int) as customer_id")
