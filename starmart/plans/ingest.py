@@ -42,6 +42,14 @@ def ingest(
     return reached
 
 
-def ingest_all(spark: SparkSession, source: readers.Source, root: str, batch_ts: dt.datetime | None = None) -> None:
+def ingest_all(
+    spark: SparkSession,
+    source: readers.Source,
+    root: str,
+    batch_ts: dt.datetime | None = None,
+    lookback_days: int = DEFAULT_LOOKBACK_DAYS,
+    default_watermark: dt.datetime = DEFAULT_WATERMARK,
+) -> None:
+    """All six datasets; an earlier ``default_watermark`` lets a first load reach further back."""
     for dataset in DATASETS.values():
-        ingest(spark, dataset, source, root, batch_ts)
+        ingest(spark, dataset, source, root, batch_ts, lookback_days, default_watermark)

@@ -40,13 +40,44 @@ def stamp(batch: DataFrame, batch_ts: dt.datetime) -> DataFrame:
 
 
 def prepare(batch: DataFrame, schema: T.StructType, batch_ts: dt.datetime) -> DataFrame:
-    """Types first, then names: a column whose name only matches after renaming is not parsed."""
-    return stamp(normalize_names(normalize_types(batch, schema)), batch_ts)
+    """Types, names, and types again: a column whose name only matches after renaming is parsed then.
+
+    So every stored column has its declared type, and one odd batch cannot make a raw table unreadable.
+    """
+    return stamp(normalize_types(normalize_names(normalize_types(batch, schema)), schema), batch_ts)
+
+
+def rejects(batch: DataFrame, schema: T.StructType) -> DataFrame:
+    """column_name, arrived, rejected: per declared column the values that came and those that did not parse.
+
+    One pass over the batch; a value that is kept at fewer decimals than it came with is not rejected.
+    """
+    named = normalize_names(batch)
+    declared = {f.name: f.dataType for f in schema.fields}
+    present = [f for f in named.schema.fields if f.name in declared]
+    counts = []
+    for f in present:
+        column = F.col(_quoted(f.name))
+        lost = column.isNotNull() & _parse(column, f.dataType, declared[f.name]).isNull()
+        counts.append(F.struct(F.lit(f.name).alias("column_name"), F.count(column).alias("arrived"), F.count_if(lost).alias("rejected")))
+    if not present:
+        return batch.sparkSession.createDataFrame([], "column_name string, arrived long, rejected long")
+    return named.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
+
+
+#: Written forms of a day besides ISO, month before day as in the sources.
+DAY_FORMS = ("M/d/yyyy", "yyyy/M/d", "yyyyMMdd", "d-MMM-yyyy", "MMM d, yyyy", "d MMM yyyy")
 
 
 def _parse(column: Column, given: T.DataType, wanted: T.DataType) -> Column:
     if isinstance(wanted, T.StringType):
         return column.cast(wanted)
+    if isinstance(wanted, T.DateType) and isinstance(given, T.StringType):
+        text = F.trim(column)
+        others = [F.try_to_timestamp(text, F.lit(form)).cast("date") for form in DAY_FORMS]
+        # a bare number would be read as a year
+        iso = F.when(~text.rlike(r"^\d+$"), text.try_cast(wanted))
+        return F.coalesce(iso, *others)
     if isinstance(wanted, T.LongType) and not isinstance(given, T.IntegralType):
         # '3.0' and 3.0 are whole numbers, '3.7' is not one and becomes NULL.
         exact = column.try_cast(T.DecimalType(38, 10))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import month_of
 from starmart.sources.registry import FULL, INCREMENTAL
 
-WRITE_MODES = {FULL: "overwrite", INCREMENTAL: "append"}
+LOAD_TYPES = (FULL, INCREMENTAL)
+BATCH_LIST = "batches"
 
 
 def write_batch(
@@ -18,20 +20,34 @@ def write_batch(
 ) -> dt.date | dt.datetime | None:
     """Write one prepared batch and return the largest watermark value in it.
 
-    An empty batch writes nothing, so an empty full load leaves the old table in place. The maximum
-    is observed while the rows are written: the batch is read once, and no second job scans it.
+    The batch is read once, by the one job that writes it into a folder of its own; its row count and its
+    largest watermark are observed on the way. Then one line in the table's list of batches makes it part of
+    the table, or, after a full load, the whole of it. A load that fails, or is empty, adds no line and
+    leaves the table as it was.
     """
-    if batch.isEmpty():
+    if load_type not in LOAD_TYPES:
+        raise ValueError(f"unknown load type {load_type!r} for {table}, expected one of {list(LOAD_TYPES)}")
+    seen = Observation(f"load of {table}")
+    reached = F.max(watermark_column) if watermark_column is not None else F.lit(None)
+    observed = batch.observe(seen, F.count(F.lit(1)).alias("row_count"), reached.alias("watermark"))
+    name = f"batch-{uuid.uuid4().hex}"
+    observed.write.mode("error").parquet(f"{root}/{table}/{name}")
+    if not seen.get["row_count"]:
         return None
-    if load_type not in WRITE_MODES:
-        raise ValueError(f"unknown load type {load_type!r} for {table}, expected one of {list(WRITE_MODES)}")
-    writes = batch.write
-    seen = None
-    if watermark_column is not None:
-        seen = Observation(f"load of {table}")
-        writes = batch.observe(seen, F.max(watermark_column).alias("watermark")).write
-    writes.mode(WRITE_MODES[load_type]).parquet(f"{root}/{table}")
-    return seen.get["watermark"] if seen is not None else None
+    line = batch.sparkSession.range(1, numPartitions=1).select(
+        F.lit(name).alias("batch"), F.lit(load_type == FULL).alias("replaces"), F.current_timestamp().alias("listed_at")
+    )
+    line.write.mode("append").parquet(f"{root}/{table}/{BATCH_LIST}")
+    return seen.get["watermark"] if watermark_column is not None else None
+
+
+def batches(spark: SparkSession, root: str, table: str) -> list[str]:
+    """The folders whose rows make up the table now: the last full load and what was appended since."""
+    schema = "batch string, replaces boolean, listed_at timestamp"
+    listed = spark.read.schema(schema).parquet(f"{root}/{table}/{BATCH_LIST}")
+    start = F.max(F.when(F.col("replaces"), F.col("listed_at")))
+    start = listed.agg(F.coalesce(start, F.min("listed_at")).alias("start")).scalar()
+    return [f"{root}/{table}/{r['batch']}" for r in listed.filter(F.col("listed_at") >= start).orderBy("listed_at").collect()]
 
 
 def write_table(table: DataFrame, path: str) -> None:
@@ -40,16 +56,11 @@ def write_table(table: DataFrame, path: str) -> None:
 
 
 def write_fact(fact: DataFrame, path: str, date_column: str = "date_key") -> None:
-    """A rebuilt fact, one folder per month.
+    """A rebuilt fact, its rows gathered by month and sorted by date within each file.
 
-    The rebalance gathers each month into few files of a good size and splits a month that holds a
-    large share of the rows over several tasks.
+    Files and their row groups then hold narrow ranges of dates, so that a filter on the date itself skips
+    the others. The rebalance splits a month that holds a large share of the rows over several tasks.
     """
     month = f"{date_column}_month"
-    (
-        fact.withColumn(month, month_of(date_column))
-        .hint("rebalance", month)
-        .write.mode("overwrite")
-        .partitionBy(month)
-        .parquet(path)
-    )
+    gathered = fact.withColumn(month, month_of(date_column)).hint("rebalance", month).drop(month)
+    gathered.sortWithinPartitions(date_column).write.mode("overwrite").parquet(path)

@@ -136,11 +136,11 @@ def test_types_that_do_not_parse_become_null(spark):
     assert dict(got.dtypes)["customer_id"] == "string"
 
 
-def test_types_come_before_names(spark):
+def test_columns_are_parsed_before_and_after_renaming(spark):
     arrived = spark.createDataFrame([("2024-01-01", "1", "2024-01-02")], "`Order Date` string, ` Ad-Spend ` string, order_date string")
     got = normalize.prepare(arrived.select("Order Date", " Ad-Spend "), schemas.SALES, T1)
     assert got.columns == ["order_date", "ad_spend", INGESTED_AT]
-    assert dict(got.dtypes)["order_date"] == "string"
+    assert dict(got.dtypes)["order_date"] == "date"
     assert dict(normalize.prepare(arrived.select("order_date"), schemas.SALES, T1).dtypes)["order_date"] == "date"
 
 
@@ -169,3 +169,61 @@ def test_raw_table_with_a_column_that_came_later(spark, folder):
     assert sinks.write_batch(new, folder, dataset.target, "incremental", "order_date") == day("2024-01-10")
     stored = {r["order_id"]: r["campaign_id"] for r in dicts(readers.read_raw(spark, folder, dataset))}
     assert stored == {"O1": None, "O2": "K1"}
+
+
+def test_a_batch_with_other_column_names_reads_back(spark, folder, source):
+    dataset = DATASETS["sales"]
+    publish(source, sales=sales_of(spark, sale("O1", date="2024-05-10")))
+    ingest(spark, dataset, source, folder, T1)
+    odd = sales_of(spark, sale("O2", date="2024-05-12")).drop(INGESTED_AT)
+    odd = odd.withColumnRenamed("order_date", "Order Date").selectExpr("* except (`Order Date`)", "string(`Order Date`) as `Order Date`")
+    sinks.write_batch(normalize.prepare(odd, dataset.schema, T2), folder, dataset.target, "incremental", "order_date")
+    staged = {r["order_id"]: r["order_date"] for r in dicts(stg_sales(readers.read_raw(spark, folder, dataset)))}
+    assert staged == {"O1": day("2024-05-10"), "O2": day("2024-05-12")}
+
+
+def test_a_failing_full_load_keeps_the_old_rows(spark, folder, source):
+    dataset = DATASETS["customers"]
+    publish(source, customers=raw(spark)["raw_customers"])
+    ingest(spark, dataset, source, folder, T1)
+    bad = normalize.prepare(raw(spark)["raw_customers"], dataset.schema, T2).selectExpr("* except (age)", "age div 0 as age")
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sinks.write_batch(bad, folder, dataset.target, "full")
+    assert readers.read_raw(spark, folder, dataset).count() == 2
+
+
+def test_a_batch_is_one_job_and_one_for_its_line(spark, folder):
+    dataset = DATASETS["customers"]
+    batch = normalize.prepare(raw(spark)["raw_customers"], dataset.schema, T1)
+    spark.sparkContext.setJobGroup("one batch", "")
+    sinks.write_batch(batch, folder, dataset.target, "full")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("one batch")) == 2
+
+
+def test_written_forms_of_a_day(spark):
+    forms = ["2024-02-01", "02/01/2024", "2024/2/1", "20240201", "1-Feb-2024", "Feb 1, 2024", " 2024-02-01 ", "1 Feb 2024"]
+    rows = spark.createDataFrame([(f,) for f in [*forms, "2024", "soon", None]], "order_date string")
+    got = [r[0] for r in normalize.normalize_types(rows, schemas.SALES).collect()]
+    assert got == [day("2024-02-01")] * len(forms) + [None, None, None]
+    lost = {r["column_name"]: (r["arrived"], r["rejected"]) for r in normalize.rejects(rows, schemas.SALES).collect()}
+    assert lost == {"order_date": (10, 2)}
+
+
+def test_amounts_keep_their_decimals(spark):
+    rows = spark.createDataFrame([("0.125", "12345678901.50")], "discount string, price string")
+    got = normalize.normalize_types(rows, schemas.SALES).first()
+    assert (str(got["discount"]), str(got["price"])) == ("0.125000000", "12345678901.500000000")
+
+
+def test_jdbc_needs_bounds_for_large_tables(spark):
+    source = readers.Source("jdbc", options={"url": "jdbc:none:"})
+    with pytest.raises(ValueError, match="numPartitions"):
+        source.read(spark, "fact_sales")
+
+
+def test_an_earlier_default_watermark_reaches_further_back(spark, folder, source):
+    tables = raw(spark, sales=[sale(date="2019-05-01")], marketing=[ad(date="2019-05-01")])
+    publish(source, **{name.removeprefix("raw_"): frame for name, frame in tables.items()})
+    ingest_all(spark, source, folder, T1, default_watermark=dt.datetime(2019, 1, 1))
+    assert readers.read_raw(spark, folder, DATASETS["sales"]).count() == 1
