@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from oracle.tables import TABLES, quotient, staged_sales, with_tables
-from starmart.operators import checks
 
 MART = [name for name in TABLES if name.startswith(("stg_", "dim_", "fact_", "agg_")) and name != "dim_date"]
 
@@ -48,6 +47,8 @@ from (select {MONTH.format("date_key")}, campaign_key, channel_key,
 full outer join (select {MONTH.format("date_key")}, campaign_key, channel_key, sum(ad_spend) as total_ad_spend
                  from fact_marketing group by 1, 2, 3) m
   on s.report_month = m.report_month and s.campaign_key = m.campaign_key and s.channel_key = m.channel_key""",
+    "recent_sales": """
+select * replace (timestamp '2024-06-15 06:00:00' as _ingested_at) from raw_sales where order_date >= date '2024-01-01'""",
     "sales_and_rerun": """
 select * from raw_sales
 union all
@@ -127,6 +128,9 @@ select {MONTH.format("date_key")}, channel_name, {total("total_ad_spend", "ad_sp
        {rate("total_conversions", "total_clicks", "conversion_rate")},
        {rate("total_ad_spend", "total_conversions", "cost_per_conversion")}
 from agg_channel_funnel_daily group by 1, 2""",
+    "kpi_campaign_region": f"""
+select report_month, campaign_id, region, {total("total_revenue", "campaign_revenue")}
+from agg_campaign_performance group by 1, 2, 3""",
     "ingest_full": "select * from raw_customers",
     "ingest_incremental": """
 select * exclude (_ingested_at) from raw_sales where order_date >= date '2024-05-29'""",
@@ -137,6 +141,37 @@ select order_id, product_id,
        case when quantity % 9 <> 0 then price end as price,
        case when quantity % 13 <> 0 then order_date end as order_date, 'kept' as extra_column
 from raw_sales""",
+    "ingest_normalize_all": """
+select * exclude (_ingested_at) replace (
+    case when quantity % 7 <> 0 then quantity end as quantity, case when quantity % 9 <> 0 then price end as price,
+    case when quantity % 13 <> 0 then order_date end as order_date)
+from raw_sales""",
+    "ingest_rejects": "\nunion all\n".join(
+        f"select '{c}' as column_name, count({c}) as arrived, {lost} as rejected from raw_sales"
+        for c, lost in {
+            **dict.fromkeys(
+                "order_id customer_id customer_status product_id product_name category ship_mode discount unit_cost "
+                "refund_status revenue channel campaign_id".split(), "0"),
+            "quantity": "count(*) filter (quantity % 7 = 0)",
+            "price": "count(*) filter (quantity % 9 = 0)",
+            "order_date": "count(*) filter (quantity % 13 = 0)",
+        }.items()
+    ),
+    "ingest_run_full": "select *, '2024-06-15 06:00:00' as _ingested_at from raw_customers",
+    "ingest_run_incremental": """
+select order_date, count(*) * case when order_date >= last - 3 then 2 else 1 end as stored_rows,
+       strftime(last, '%Y-%m-%d') as watermark, 2 as log_rows
+from raw_sales, (select max(order_date) as last from raw_sales) where order_date >= date '2022-12-29'
+group by order_date, last""",
+    "ingest_run_renamed": staged_sales("recent_sales"),
+    "audit_loaded_at": "\nunion all\n".join(
+        f"select '2024-06-15 06:00:00' as loaded_at, count(*) as row_count, '{name}' as table_name from {name}"
+        for name in ("dim_campaigns", "dim_customers", "fact_sales", "fact_marketing", "agg_channel_funnel_daily")
+    ),
+    "cohort_order": """
+select cohort_month, region, months_since_acquisition,
+       row_number() over (order by cohort_month, region nulls first, months_since_acquisition) - 1 as position
+from agg_customer_cohort""",
     "ingest_column_names": "select * exclude (_ingested_at) from raw_marketing",
     "ingest_dedup_rerun": staged_sales("sales_and_rerun"),
     "watermark_lookup": """
@@ -153,45 +188,87 @@ def labelled(kind: str, table: str, target: str, count: str) -> str:
     return f"select '{kind}' as \"check\", '{table}' as table_name, '{target}' as target, ({count}) as violations"
 
 
-def check_select(check: checks.Check) -> str:
-    table, target = check.table, check.target
-    match check.kind:
-        case checks.NOT_NULL:
-            count = f"select count(*) from {table} where {target} is null"
-        case checks.ACCEPTED:
-            count = f"select count(*) from {table} where {target} not in ('refunded', 'completed')"
-        case checks.EXPRESSION:
-            count = f"select count(*) from {table} where not ({target})"
-        case checks.UNIQUE:
-            count = (
-                f"select count(*) from (select {target} from {table} where {target} is not null "
-                f"group by {target} having count(*) > 1)"
-            )
-        case checks.COMBINATION:
-            count = f"select count(*) from (select {target} from {table} group by {target} having count(*) > 1)"
-        case checks.RELATIONSHIPS:
-            count = (
-                f"select count(*) from {table} c where c.{target} is not null "
-                f"and not exists (select 1 from {check.parent} p where p.{target} = c.{target})"
-            )
-        case checks.ROWCOUNT:
-            count = f"select abs((select count(*) from {table}) - (select count(*) from {target}))"
-    return labelled(check.kind, table, target, count)
+def columns_of(**tables: str) -> list[tuple[str, str]]:
+    return [(table, column) for table, columns in tables.items() for column in columns.split()]
+
+
+# The checked columns, keys, conditions and parents.
+NOT_NULL = columns_of(
+    stg_customers="customer_id", stg_products="product_id", stg_campaigns="campaign_id", stg_channels="channel_name",
+    stg_sales="order_id product_id quantity refund_status", stg_marketing="ads_id ad_spend",
+    dim_customers="customer_key customer_id", dim_products="product_key product_id",
+    dim_campaigns="campaign_key campaign_id", dim_channels="channel_key channel_name", dim_date="date_key",
+    fact_sales="sales_key date_key customer_key product_key channel_key campaign_key net_sales",
+    fact_marketing="marketing_key date_key campaign_key channel_key ad_spend",
+)
+UNIQUE = columns_of(
+    stg_customers="customer_id", stg_products="product_id", stg_campaigns="campaign_id", stg_channels="channel_name",
+    stg_marketing="ads_id", dim_customers="customer_key customer_id", dim_products="product_key product_id",
+    dim_campaigns="campaign_key campaign_id", dim_channels="channel_key channel_name", dim_date="date_key",
+    fact_sales="sales_key", fact_marketing="marketing_key",
+)
+PARENTS = [
+    ("dim_campaigns", "channel_key", "dim_channels"),
+    ("fact_sales", "date_key", "dim_date"),
+    ("fact_sales", "customer_key", "dim_customers"),
+    ("fact_sales", "product_key", "dim_products"),
+    ("fact_sales", "channel_key", "dim_channels"),
+    ("fact_sales", "campaign_key", "dim_campaigns"),
+    ("fact_marketing", "date_key", "dim_date"),
+    ("fact_marketing", "campaign_key", "dim_campaigns"),
+    ("fact_marketing", "channel_key", "dim_channels"),
+]
+CONDITIONS = [
+    ("fact_sales", "net_sales >= 0"),
+    ("fact_sales", "abs(gross_sales - discount_amount - net_sales) < 0.01"),
+    ("fact_marketing", "ad_spend >= 0"),
+    ("agg_customer_cohort", "retention_rate between 0 and 100"),
+]
+RULES: dict[str, list[tuple[str, str, str]]] = {
+    "not_null": [(t, c, f"select count(*) - count({c}) from {t}") for t, c in NOT_NULL],
+    "unique": [
+        (t, c, f"select count(*) from (select {c} from {t} where {c} is not null group by {c} having count(*) > 1)")
+        for t, c in UNIQUE
+    ],
+    "accepted_values": [
+        ("stg_sales", "refund_status", "select count(*) from stg_sales where refund_status not in ('refunded', 'completed')")
+    ],
+    "relationships": [
+        (t, c, f"select count(*) from {t} where {c} is not null and {c} not in (select {c} from {p} where {c} is not null)")
+        for t, c, p in PARENTS
+    ],
+    "unique_combination": [
+        ("stg_sales", "order_id,product_id",
+         "select count(*) from (select 1 from stg_sales group by order_id, product_id having count(*) > 1)")
+    ],
+    "expression": [(t, e, f"select count(*) from {t} where not ({e})") for t, e in CONDITIONS],
+    "equal_rowcount": [
+        (t, o, f"select abs((select count(*) from {t}) - (select count(*) from {o}))")
+        for t, o in (("fact_sales", "stg_sales"), ("fact_marketing", "stg_marketing"))
+    ],
+}
 
 
 def kpi_rule_selects() -> list[str]:
-    def identity(kind: str, table: str, value: str, total_: str, per: str, source: str, columns: tuple[str, str]) -> str:
-        top, bottom = (f"sum({c})" for c in columns)
-        ratio = quotient(top, bottom)
+    def identity(kind: str, table: str, value: str, truth: str, per: str, source: str, ratio: tuple[str, str], fact: str) -> str:
+        top, bottom = (f"sum({c})" for c in ratio)
         return labelled(
             kind,
             table,
-            f"{value} = {total_} / {per}",
-            f"select count(*) from (select {ratio} as v, {top} as t, {bottom} as p from {source} group by report_month) "
-            "where (v is not null and abs(v * p - t) > 0.01) or (v is null and p <> 0 and t is not null)",
+            f"{value} = {truth} / {per}",
+            f"select count(*) from (select report_month, {quotient(top, bottom)} as v, {bottom} as p from {source} group by 1) "
+            f"full outer join ({fact}) using (report_month) "
+            "where (v is not null and (t is null or abs(v * p - t) > 0.01 + 1e-9 * abs(t))) "
+            "or (v is null and p <> 0 and t is not null)",
         )
 
     growth = f"(select *, {MONTH.format('report_date')} from agg_growth_daily)"
+    month = MONTH.format("date_key")
+    money = f"select {month}, cast(sum(net_sales) filter (not is_refunded) as double) as t from fact_sales group by 1"
+    bought = (
+        f"select {month}, cast(count(distinct (customer_key, order_id)) filter (order_id is not null) as double) as t "
+        "from fact_sales group by 1"
+    )
     cohorts = "agg_customer_cohort"
     return [
         labelled("kpi_acquisition_cost", "fact_marketing", "cost and new customers > 0",
@@ -200,22 +277,22 @@ def kpi_rule_selects() -> list[str]:
                  f"select count(*) from {cohorts} where months_since_acquisition = 0 and retention_rate <> 100"),
         labelled("kpi_retention", cohorts, "no month after the latest sales",
                  f"select count(*) from {cohorts} where activity_month > (select max(date_key) from fact_sales)"),
-        identity("kpi_order_value", "agg_growth_daily", "average_order_value", "revenue", "orders",
-                 growth, ("total_revenue", "total_orders")),
-        identity("kpi_ad_return", "fact_sales", "return_on_ad_spend", "campaign_revenue", "ad_spend",
-                 "campaign_money", ("total_revenue", "total_ad_spend")),
-        identity("kpi_frequency", "agg_customer_segment", "purchase_frequency", "orders", "customers",
-                 "agg_customer_segment", ("total_orders", "total_customers")),
-        labelled("kpi_segment_share", "agg_customer_segment", "shares of a month sum to 1",
-                 "select count(*) from (select report_month, sum(s) as share_sum from (select report_month, "
-                 "cast(total_revenue as double) / nullif(sum(total_revenue) over (partition by report_month), 0) as s "
-                 "from agg_customer_segment) group by report_month) where abs(share_sum - 1) > 1e-6"),
+        identity("kpi_order_value", "agg_growth_daily", "average_order_value", "fact_revenue", "orders",
+                 growth, ("total_revenue", "total_orders"), money),
+        identity("kpi_ad_return", "fact_sales", "return_on_ad_spend", "fact_revenue", "ad_spend",
+                 "campaign_money", ("total_revenue", "total_ad_spend"), money),
+        identity("kpi_frequency", "agg_customer_segment", "purchase_frequency", "fact_orders", "customers",
+                 "agg_customer_segment", ("total_orders", "total_customers"), bought),
+        labelled("kpi_segment_share", "agg_customer_segment", "shares of all sales of a month sum to 1",
+                 "select count(*) from (select report_month, cast(sum(total_revenue) as double) as s from agg_customer_segment "
+                 f"group by 1) full outer join ({money}) using (report_month) "
+                 "where abs(s / nullif(t, 0) - 1) > 1e-6 or (s / nullif(t, 0) is null and t <> 0)"),
     ]
 
 
 def oracle_sql() -> dict[str, str]:
     selects = {name: f"select * from {name}" for name in MART} | SELECTS
-    for kind in dict.fromkeys(check.kind for check in checks.CHECKS):
-        selects[f"check_{kind}"] = "\nunion all\n".join(check_select(c) for c in checks.checks_of(kind))
+    for kind, rules in RULES.items():
+        selects[f"check_{kind}"] = "\nunion all\n".join(labelled(kind, *rule) for rule in rules)
     selects["check_kpi_rules"] = "\nunion all\n".join(kpi_rule_selects())
     return {name: with_tables(select, HELPERS) for name, select in selects.items()}

@@ -216,25 +216,34 @@ def kpi_rules(growth: DataFrame, segments: DataFrame, cohorts: DataFrame, acquis
               campaigns: DataFrame, sales: DataFrame) -> DataFrame:
     """The publishing rules of the measures, as violation counts per rule (same columns as ``report``).
 
-    ``acquisition`` and ``campaigns`` are the acquisition and campaign results the measures come from.
+    ``acquisition`` and ``campaigns`` are the acquisition and campaign results the measures come from. Ratios and
+    shares of the published tables are held against money and orders summed from the sales fact itself, so a
+    table that lost or repeats rows fails.
     """
-    from starmart.operators.measures import measure, share
+    from starmart.operators.measures import measure
 
     latest_month = sales.agg(F.trunc(F.max("date_key"), "month").alias("latest")).scalar()
-    by_month, segment = ["report_month"], ["region", "gender", "age_band", "customer_status"]
-
-    def identity(kind: str, table: str, rows: DataFrame, value: str, total: str, per: str) -> DataFrame:
-        published = F.col(value).isNotNull()
-        off = F.abs(F.col(value) * F.col(per) - F.col(total)) > 0.01
-        wrong = (published & off) | (~published & (F.col(per) != 0) & F.col(total).isNotNull())
-        return _rule(rows, kind, table, f"{value} = {total} / {per}", wrong)
-
-    shares = share(segments, "total_revenue", [*by_month, *segment], by_month, "segment_share")
-    share_sums = shares.groupBy(*by_month).agg(F.sum("segment_share").alias("share_sum"))
+    by_month = ["report_month"]
+
+    lines = sales.withColumn("report_month", F.trunc("date_key", "month"))
+    money = lines.groupBy(*by_month).agg(F.sum(F.when(~F.col("is_refunded"), F.col("net_sales"))).alias("fact_revenue"))
+    bought = lines.select(*by_month, "customer_key", "order_id").filter("order_id is not null").distinct()
+    bought = bought.groupBy(*by_month).agg(F.count("*").alias("fact_orders"))
+
+    def identity(kind: str, table: str, rows: DataFrame, value: str, per: str, facts: DataFrame, truth: str) -> DataFrame:
+        published, true = F.col(value).isNotNull(), F.col(truth).cast("double")
+        off = F.abs(F.col(value) * F.col(per) - true) > 0.01 + 1e-9 * F.abs(true)
+        wrong = (published & (off | true.isNull())) | (~published & (F.col(per) != 0) & true.isNotNull())
+        return _rule(rows.join(facts, by_month, "full_outer"), kind, table, f"{value} = {truth} / {per}", wrong)
+
+    revenue = segments.groupBy(*by_month).agg(F.sum("total_revenue").alias("segment_revenue"))
+    share_sums = revenue.join(money, by_month, "full_outer").withColumn(
+        "share_sum", F.try_divide(F.col("segment_revenue").cast("double"), F.col("fact_revenue").cast("double"))
+    )
     monthly = measure(growth.withColumn("report_month", F.trunc("report_date", "month")),
-                      "revenue", "orders", "average_order_value", by=by_month)
-    spend = measure(campaigns, "campaign_revenue", "ad_spend", "return_on_ad_spend", by=by_month)
-    frequency = measure(segments, "orders", "customers", "purchase_frequency", by=by_month)
+                      "revenue", "orders", "average_order_value", by=by_month, table="agg_growth_daily")
+    spend = measure(campaigns, "campaign_revenue", "ad_spend", "return_on_ad_spend", by=by_month, table="campaign_results")
+    frequency = measure(segments, "customers", "purchase_frequency", by=by_month, table="agg_customer_segment")
     cost, new = F.coalesce("acquisition_cost", F.lit(0)), F.coalesce("new_customers", F.lit(0))
     return reduce(
         DataFrame.unionByName,
@@ -245,11 +254,11 @@ def kpi_rules(growth: DataFrame, segments: DataFrame, cohorts: DataFrame, acquis
                   (F.col("months_since_acquisition") == 0) & (F.col("retention_rate") != 100)),
             _rule(cohorts, "kpi_retention", "agg_customer_cohort", "no month after the latest sales",
                   F.col("activity_month") > latest_month),
-            identity("kpi_order_value", "agg_growth_daily", monthly, "average_order_value", "revenue", "orders"),
-            identity("kpi_ad_return", "fact_sales", spend, "return_on_ad_spend", "campaign_revenue", "ad_spend"),
-            identity("kpi_frequency", "agg_customer_segment", frequency, "purchase_frequency", "orders", "customers"),
-            _rule(share_sums, "kpi_segment_share", "agg_customer_segment", "shares of a month sum to 1",
-                  F.abs(F.col("share_sum") - 1) > 1e-6),
+            identity("kpi_order_value", "agg_growth_daily", monthly, "average_order_value", "orders", money, "fact_revenue"),
+            identity("kpi_ad_return", "fact_sales", spend, "return_on_ad_spend", "ad_spend", money, "fact_revenue"),
+            identity("kpi_frequency", "agg_customer_segment", frequency, "purchase_frequency", "customers", bought, "fact_orders"),
+            _rule(share_sums, "kpi_segment_share", "agg_customer_segment", "shares of all sales of a month sum to 1",
+                  (F.abs(F.col("share_sum") - 1) > 1e-6) | (F.col("share_sum").isNull() & (F.col("fact_revenue") != 0))),
         ],
     )
 

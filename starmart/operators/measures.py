@@ -14,63 +14,80 @@ from starmart.operators.aggregates import customers_and_orders, kept
 
 @dataclass(frozen=True)
 class Measure:
-    """The sum of ``total``, over the sum of ``per`` where there is one."""
+    """The sum of ``total``, over the sum of ``per`` where there is one, on the ``tables`` it may be read from.
+
+    Distinct counts of a finer table, and spend that repeats on every region's row, must not be summed: a table on
+    which a measure would be wrong is not in its list.
+    """
 
     name: str
+    tables: tuple[str, ...]
     total: str
     per: str | None = None
 
 
+MONTHLY_OR_SEGMENT = ("monthly_customers", "agg_customer_segment")
+NEW_CUSTOMERS = ("monthly_customers", "acquisition_results")
+SPEND = ("acquisition_results", "campaign_results", "agg_channel_funnel_daily")
+CAMPAIGN_REVENUE = ("campaign_results", "agg_campaign_performance")
+
 MEASURES = {
     measure.name: measure
     for measure in (
         # daily growth
-        Measure("revenue", "total_revenue"),
-        Measure("orders", "total_orders"),
-        Measure("average_order_value", "total_revenue", "total_orders"),
-        Measure("gross_profit", "gross_profit"),
-        Measure("gross_margin", "gross_profit", "total_revenue"),
+        Measure("revenue", ("agg_growth_daily",), "total_revenue"),
+        Measure("orders", ("agg_growth_daily",), "total_orders"),
+        Measure("average_order_value", ("agg_growth_daily",), "total_revenue", "total_orders"),
+        Measure("gross_profit", ("agg_growth_daily",), "gross_profit"),
+        Measure("gross_margin", ("agg_growth_daily",), "gross_profit", "total_revenue"),
         # unit economics
-        Measure("units", "total_units"),
-        Measure("average_selling_price", "total_revenue", "total_units"),
-        Measure("revenue_per_customer", "total_revenue", "total_customers"),
-        Measure("orders_per_customer", "total_orders", "total_customers"),
+        Measure("units", ("monthly_sales",), "total_units"),
+        Measure("average_selling_price", ("monthly_sales",), "total_revenue", "total_units"),
+        Measure("revenue_per_customer", ("monthly_sales",), "total_revenue", "total_customers"),
+        Measure("orders_per_customer", ("monthly_sales",), "total_orders", "total_customers"),
         # discounts
-        Measure("discount_rate", "discount_amount", "gross_sales"),
-        Measure("discount_frequency", "discounted_lines", "lines"),
+        Measure("discount_rate", ("discounts",), "discount_amount", "gross_sales"),
+        Measure("discount_frequency", ("discounts",), "discounted_lines", "lines"),
         # customers
-        Measure("customers", "total_customers"),
-        Measure("new_customer_count", "new_customers"),
-        Measure("returning_customer_count", "returning_customers"),
-        Measure("repeat_purchase_rate", "returning_customers", "total_customers"),
-        Measure("same_month_repeat_rate", "customers_with_multiple_orders_in_month", "total_customers"),
-        Measure("average_customer_revenue", "total_revenue", "total_customers"),
-        Measure("purchase_frequency", "total_orders", "total_customers"),
+        Measure("customers", MONTHLY_OR_SEGMENT, "total_customers"),
+        Measure("new_customer_count", NEW_CUSTOMERS, "new_customers"),
+        Measure("returning_customer_count", ("monthly_customers",), "returning_customers"),
+        Measure("repeat_purchase_rate", ("monthly_customers",), "returning_customers", "total_customers"),
+        Measure("same_month_repeat_rate", ("agg_customer_segment",), "customers_with_multiple_orders_in_month", "total_customers"),
+        Measure("average_customer_revenue", ("agg_customer_segment",), "total_revenue", "total_customers"),
+        Measure("purchase_frequency", ("agg_customer_segment",), "total_orders", "total_customers"),
         # cohorts
-        Measure("cohort_customers", "cohort_size"),
-        Measure("active_cohort_customers", "active_customers"),
-        Measure("retention", "active_customers", "cohort_size"),
+        Measure("cohort_customers", ("agg_customer_cohort",), "cohort_size"),
+        Measure("active_cohort_customers", ("agg_customer_cohort",), "active_customers"),
+        Measure("retention", ("agg_customer_cohort",), "active_customers", "cohort_size"),
         # campaigns and channels
-        Measure("ad_spend", "total_ad_spend"),
-        Measure("acquisition_spend", "acquisition_cost"),
-        Measure("customer_acquisition_cost", "acquisition_cost", "new_customers"),
-        Measure("campaign_revenue", "total_revenue"),
-        Measure("return_on_ad_spend", "total_revenue", "total_ad_spend"),
-        Measure("profit_on_ad_spend", "gross_profit", "total_ad_spend"),
-        Measure("impression_count", "total_impressions"),
-        Measure("click_count", "total_clicks"),
-        Measure("conversion_count", "total_conversions"),
-        Measure("click_through_rate", "total_clicks", "total_impressions"),
-        Measure("conversion_rate", "total_conversions", "total_clicks"),
-        Measure("cost_per_conversion", "total_ad_spend", "total_conversions"),
+        Measure("ad_spend", SPEND, "total_ad_spend"),
+        Measure("acquisition_spend", ("acquisition_results",), "acquisition_cost"),
+        Measure("customer_acquisition_cost", ("acquisition_results",), "acquisition_cost", "new_customers"),
+        Measure("campaign_revenue", CAMPAIGN_REVENUE, "total_revenue"),
+        Measure("return_on_ad_spend", ("campaign_results",), "total_revenue", "total_ad_spend"),
+        Measure("profit_on_ad_spend", ("campaign_results",), "gross_profit", "total_ad_spend"),
+        Measure("impression_count", ("agg_channel_funnel_daily",), "total_impressions"),
+        Measure("click_count", ("agg_channel_funnel_daily",), "total_clicks"),
+        Measure("conversion_count", ("agg_channel_funnel_daily",), "total_conversions"),
+        Measure("click_through_rate", ("agg_channel_funnel_daily",), "total_clicks", "total_impressions"),
+        Measure("conversion_rate", ("agg_channel_funnel_daily",), "total_conversions", "total_clicks"),
+        Measure("cost_per_conversion", ("agg_channel_funnel_daily",), "total_ad_spend", "total_conversions"),
     )
 }
 
 
-def measure(rows: DataFrame, *names: str, by: Iterable[str] = (), where: Column | None = None) -> DataFrame:
-    """The named measures of ``rows`` per ``by``, in one aggregation; a zero denominator gives NULL."""
+def measure(rows: DataFrame, *names: str, table: str, by: Iterable[str] = (), where: Column | None = None) -> DataFrame:
+    """The named measures of ``rows`` per ``by``, in one aggregation; a zero denominator gives NULL.
+
+    ``table`` says which table, or which function of this module, ``rows`` comes from; a measure that would be wrong
+    on it is an error.
+    """
     by = list(by)
     wanted = [MEASURES[name] for name in names]
+    for m in wanted:
+        if table not in m.tables:
+            raise ValueError(f"{m.name} cannot be read from {table}, only from {', '.join(m.tables)}")
     sums = dict.fromkeys(c for m in wanted for c in (m.total, m.per) if c)
     chosen = rows if where is None else rows.filter(where)
     # Sums get names of their own: a measure may be called like the column it sums.

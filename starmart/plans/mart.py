@@ -32,6 +32,7 @@ class Mart:
     """Every table of the mart as a lazy DataFrame over the raw tables.
 
     ``built`` replaces tables by ones already written; what reads them then starts from the files.
+    ``row_counts`` are the rows seen while they were written. Building a plan runs no job.
     """
 
     def __init__(
@@ -40,10 +41,11 @@ class Mart:
         raw: Mapping[str, DataFrame],
         params: MartParams = MartParams(),
         built: dict[str, DataFrame] | None = None,
+        row_counts: Mapping[str, int] | None = None,
     ):
         self.spark, self.raw, self.params = spark, raw, params
         self.built = dict(built or {})
-        self._sized: dict[str, DataFrame] = {}
+        self.row_counts = dict(row_counts or {})
 
     def table(self, name: str) -> DataFrame:
         return self.built[name] if name in self.built else getattr(self, name)
@@ -52,13 +54,11 @@ class Mart:
         return self.table(name)
 
     def lookup(self, name: str) -> DataFrame:
-        """A dimension as the side of a join: broadcast when its row count, checked here, is within the
-        limit. A larger one is joined by shuffling, where adaptive execution splits skewed keys."""
-        if name not in self._sized:
-            dimension = self.table(name)
-            small = dimension.count() <= self.params.broadcast_rows
-            self._sized[name] = F.broadcast(dimension) if small else dimension
-        return self._sized[name]
+        """A dimension as the side of a join: broadcast when it was written with few enough rows. Otherwise
+        Spark decides by size, also at run time, and splits skewed keys where it shuffles."""
+        rows = self.row_counts.get(name)
+        small = rows is not None and rows <= self.params.broadcast_rows
+        return F.broadcast(self.table(name)) if small else self.table(name)
 
     @cached_property
     def stg_campaigns(self) -> DataFrame:
@@ -187,6 +187,6 @@ def build_mart(
         if name in FACTS:
             sinks.write_fact(table, path)
         else:
-            sinks.write_table(table, path)
+            mart.row_counts[name] = sinks.write_table(table, path)
         mart.built[name] = spark.read.schema(table.schema).parquet(path).select(*table.columns)
     return {name: mart.table(name) for name in TABLES}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,10 @@ from starmart.functions import month_of, timestamp_literal
 from starmart.operators import checks, measures, staging
 from starmart.operators.measures import measure
 from starmart.params import MartParams
+from starmart.plans.ingest import ingest
 from starmart.plans.mart import AGGREGATES, DIMENSIONS, FACTS, STAGING, Mart
-from starmart.sources import normalize, readers, watermark
+from starmart.session import shared_folder
+from starmart.sources import normalize, readers, sinks, watermark
 from starmart.sources.registry import DATASETS
 from starmart.sources.supplied import SuppliedTables
 
@@ -53,13 +57,13 @@ def dim_date_activity(m: Mart) -> DataFrame:
 def kpi_sales(m: Mart) -> DataFrame:
     rows = m["agg_growth_daily"].withColumn(MONTH, month_of("report_date"))
     names = ("revenue", "orders", "average_order_value", "gross_profit", "gross_margin")
-    return measure(rows, *names, by=[MONTH, "channel_name"])
+    return measure(rows, *names, by=[MONTH, "channel_name"], table="agg_growth_daily")
 
 
 def kpi_unit_economics(m: Mart) -> DataFrame:
     rows = measures.monthly_sales(m["fact_sales"])
     return measure(
-        rows, "units", "average_selling_price", "revenue_per_customer", "orders_per_customer", by=[MONTH]
+        rows, "units", "average_selling_price", "revenue_per_customer", "orders_per_customer", by=[MONTH], table="monthly_sales"
     )
 
 
@@ -67,29 +71,29 @@ def kpi_discount(m: Mart) -> DataFrame:
     rows = measures.discounts(m["fact_sales"]).join(
         m.lookup("dim_products").select("product_key", "category"), "product_key"
     )
-    return measure(rows, "discount_rate", "discount_frequency", by=[MONTH, "category"])
+    return measure(rows, "discount_rate", "discount_frequency", by=[MONTH, "category"], table="discounts")
 
 
 def kpi_customers(m: Mart) -> DataFrame:
     rows = measures.monthly_customers(m["fact_sales"], m.lookup("dim_customers"))
-    return measure(rows, "customers", "new_customer_count", "returning_customer_count", by=[MONTH])
+    return measure(rows, "customers", "new_customer_count", "returning_customer_count", by=[MONTH], table="monthly_customers")
 
 
 def kpi_repeat_rate(m: Mart) -> DataFrame:
     customers = measures.monthly_customers(m["fact_sales"], m.lookup("dim_customers"))
-    over_time = measure(customers, "repeat_purchase_rate", by=[MONTH])
-    within_month = measure(m["agg_customer_segment"], "same_month_repeat_rate", by=[MONTH])
+    over_time = measure(customers, "repeat_purchase_rate", by=[MONTH], table="monthly_customers")
+    within_month = measure(m["agg_customer_segment"], "same_month_repeat_rate", by=[MONTH], table="agg_customer_segment")
     return over_time.join(within_month, MONTH, "full_outer")
 
 
 def kpi_retention(m: Mart) -> DataFrame:
     names = ("cohort_customers", "active_cohort_customers", "retention")
-    return measure(m["agg_customer_cohort"], *names, by=["cohort_month", "months_since_acquisition"])
+    return measure(m["agg_customer_cohort"], *names, by=["cohort_month", "months_since_acquisition"], table="agg_customer_cohort")
 
 
 def kpi_segment(m: Mart) -> DataFrame:
     names = ("customers", "average_customer_revenue", "purchase_frequency")
-    return measure(m["agg_customer_segment"], *names, by=[MONTH, "region"])
+    return measure(m["agg_customer_segment"], *names, by=[MONTH, "region"], table="agg_customer_segment")
 
 
 def kpi_segment_share(m: Mart) -> DataFrame:
@@ -104,7 +108,7 @@ def kpi_lifetime(m: Mart) -> DataFrame:
 def kpi_acquisition(m: Mart) -> DataFrame:
     rows = measures.acquisition_results(m["fact_sales"], m["fact_marketing"], m.lookup("dim_customers"))
     names = ("ad_spend", "acquisition_spend", "new_customer_count", "customer_acquisition_cost")
-    return measure(rows, *names, by=[MONTH])
+    return measure(rows, *names, by=[MONTH], table="acquisition_results")
 
 
 def kpi_roas(m: Mart) -> DataFrame:
@@ -114,7 +118,7 @@ def kpi_roas(m: Mart) -> DataFrame:
         .join(m.lookup("dim_channels").select("channel_key", "channel_name"), "channel_key")
     )
     names = ("ad_spend", "campaign_revenue", "return_on_ad_spend", "profit_on_ad_spend")
-    return measure(rows, *names, by=[MONTH, "campaign_id", "channel_name"])
+    return measure(rows, *names, by=[MONTH, "campaign_id", "channel_name"], table="campaign_results")
 
 
 def kpi_funnel(m: Mart) -> DataFrame:
@@ -123,7 +127,12 @@ def kpi_funnel(m: Mart) -> DataFrame:
         "ad_spend", "impression_count", "click_count", "conversion_count",
         "click_through_rate", "conversion_rate", "cost_per_conversion",
     )
-    return measure(rows, *names, by=[MONTH, "channel_name"])
+    return measure(rows, *names, by=[MONTH, "channel_name"], table="agg_channel_funnel_daily")
+
+
+def kpi_campaign_region(m: Mart) -> DataFrame:
+    """Campaign revenue per region: the one campaign measure that has regions, since spend has none."""
+    return measure(m["agg_campaign_performance"], "campaign_revenue", by=[MONTH, "campaign_id", "region"], table="agg_campaign_performance")
 
 
 def check_kpi_rules(m: Mart) -> DataFrame:
@@ -185,6 +194,99 @@ def ingest_dedup_rerun(m: Mart) -> DataFrame:
     return staging.stg_sales(rows.unionByName(rerun))
 
 
+def _text_sales(m: Mart) -> DataFrame:
+    """All columns of the sales as text, some values not numbers or not dates."""
+    rows = m.raw["raw_sales"].drop("_ingested_at")
+    quantity = F.col("quantity")
+    spoiled = {
+        "quantity": F.when(quantity % 7 == 0, "n/a").otherwise(quantity.cast("string")),
+        "price": F.when(quantity % 9 == 0, "abc").otherwise(F.col("price").cast("string")),
+        "order_date": F.when(quantity % 13 == 0, "2024-02-30")
+        .when(quantity % 5 == 0, F.date_format("order_date", "MM/dd/yyyy"))
+        .otherwise(F.col("order_date").cast("string")),
+    }
+    return rows.select(*[spoiled.get(c, F.col(c).cast("string")).alias(c) for c in rows.columns])
+
+
+def ingest_rejects(m: Mart) -> DataFrame:
+    """Values per column that came, and that did not parse, when every column of the sales is text."""
+    return normalize.rejects(_text_sales(m), DATASETS["sales"].schema)
+
+
+def ingest_normalize_all(m: Mart) -> DataFrame:
+    """Every column of the sales, from text to its declared type."""
+    return normalize.normalize_types(_text_sales(m), DATASETS["sales"].schema)
+
+
+def _fresh_folder(m: Mart) -> tuple[str, readers.Source]:
+    root = f"{shared_folder(m.spark, fallback='/tmp/checkpoints')}/ingest-{uuid.uuid4().hex}"
+    return root, readers.Source(root=f"{root}/source")
+
+
+def _publish(source: readers.Source, dataset: str, rows: DataFrame) -> None:
+    rows.drop("_ingested_at").write.mode("overwrite").parquet(f"{source.root}/{DATASETS[dataset].source}")
+
+
+def ingest_run_full(m: Mart) -> DataFrame:
+    """The stored customers after a full load of some, one of all, and one of none."""
+    root, source = _fresh_folder(m)
+    rows, dataset = m.raw["raw_customers"], DATASETS["customers"]
+    for batch in (rows.filter("age > 40"), rows, rows.limit(0)):
+        _publish(source, "customers", batch)
+        ingest(m.spark, dataset, source, root, RUN_TS)
+    stored = readers.read_raw(m.spark, root, dataset)
+    return stored.withColumn("_ingested_at", F.date_format("_ingested_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def ingest_run_incremental(m: Mart) -> DataFrame:
+    """Stored sales per day after two loads of the same source, with the watermark that the log then holds."""
+    root, source = _fresh_folder(m)
+    dataset = DATASETS["sales"]
+    _publish(source, "sales", m.raw["raw_sales"])
+    for _ in range(2):
+        ingest(m.spark, dataset, source, root, RUN_TS)
+    per_day = readers.read_raw(m.spark, root, dataset).groupBy("order_date").agg(F.count("*").alias("stored_rows"))
+    log = watermark.watermark_log(m.spark, root)
+    return per_day.select(
+        "order_date",
+        "stored_rows",
+        F.date_format(F.lit(watermark.get_watermark(log, dataset.target)), "yyyy-MM-dd").alias("watermark"),
+        F.lit(log.count()).alias("log_rows"),
+    )
+
+
+def ingest_run_renamed(m: Mart) -> DataFrame:
+    """Staged sales of two batches, the second with its date as text under another name."""
+    root, dataset = _fresh_folder(m)[0], DATASETS["sales"]
+    rows = m.raw["raw_sales"].drop("_ingested_at").filter("order_date >= date'2024-01-01'")
+    odd = F.crc32("order_id") % 2 == 1
+    renamed = rows.filter(odd).withColumn("Order Date", F.date_format("order_date", "M/d/yyyy")).drop("order_date")
+    for batch in (rows.filter(~odd), renamed):
+        prepared = normalize.prepare(batch, dataset.schema, RUN_TS)
+        sinks.write_batch(prepared, root, dataset.target, dataset.load_type, dataset.watermark_column)
+    return staging.stg_sales(readers.read_raw(m.spark, root, dataset))
+
+
+def audit_loaded_at(m: Mart) -> DataFrame:
+    """Rows per table and load time of what the mart stamps."""
+    names = ("dim_campaigns", "dim_customers", "fact_sales", "fact_marketing", "agg_channel_funnel_daily")
+    parts = [
+        m[name]
+        .groupBy(F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss").alias("loaded_at"))
+        .agg(F.count("*").alias("row_count"))
+        .withColumn("table_name", F.lit(name))
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def cohort_order(m: Mart) -> DataFrame:
+    """The cohort table's own order as positions; it has at most twelve rows per month and region."""
+    keys = ("cohort_month", "region", "months_since_acquisition")
+    ordered = m["agg_customer_cohort"].select(*keys).coalesce(1)
+    return ordered.withColumn("position", F.monotonically_increasing_id())
+
+
 def watermark_lookup(m: Mart) -> DataFrame:
     """The current watermarks after one sales load per month and one ad load per day."""
     log = [
@@ -218,6 +320,7 @@ QUERIES: dict[str, Query] = {
             kpi_acquisition,
             kpi_roas,
             kpi_funnel,
+            kpi_campaign_region,
         )
     },
     "check_not_null": _check(checks.NOT_NULL),
@@ -236,6 +339,13 @@ QUERIES: dict[str, Query] = {
             ingest_normalize,
             ingest_column_names,
             ingest_dedup_rerun,
+            ingest_rejects,
+            ingest_normalize_all,
+            ingest_run_full,
+            ingest_run_incremental,
+            ingest_run_renamed,
+            audit_loaded_at,
+            cohort_order,
             watermark_lookup,
         )
     },

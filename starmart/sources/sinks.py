@@ -50,9 +50,11 @@ def batches(spark: SparkSession, root: str, table: str) -> list[str]:
     return [f"{root}/{table}/{r['batch']}" for r in listed.filter(F.col("listed_at") >= start).orderBy("listed_at").collect()]
 
 
-def write_table(table: DataFrame, path: str) -> None:
-    """A rebuilt mart table of moderate size."""
-    table.write.mode("overwrite").parquet(path)
+def write_table(table: DataFrame, path: str) -> int:
+    """A rebuilt mart table of moderate size; its rows are counted while they are written."""
+    seen = Observation(f"write of {path}")
+    table.observe(seen, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite").parquet(path)
+    return seen.get["row_count"]
 
 
 def write_fact(fact: DataFrame, path: str, date_column: str = "date_key") -> None:

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from frames import CUSTOMERS, PARAMS, ad, day, dicts, mart, sale
+from pyspark.sql import functions as F
 
 from starmart.functions import surrogate_key
 from starmart.operators import checks, measures
@@ -161,7 +162,7 @@ def test_missing_channels_and_campaigns(spark):
 def test_orders_of_a_finer_table_do_not_add_up(spark):
     campaigns = [{"campaign_id": "K1"}, {"campaign_id": "K2"}]
     m = mart(spark, campaigns=campaigns, sales=[sale(), sale(product="P2", campaign_id="K2")])
-    assert measures.measure(m["agg_growth_daily"], "orders").first()[0] == 2
+    assert measures.measure(m["agg_growth_daily"], "orders", table="agg_growth_daily").first()[0] == 2
     assert dicts(measures.monthly_sales(m["fact_sales"]))[0]["total_orders"] == 1
 
 
@@ -297,9 +298,8 @@ def test_shares_sum_to_one_within_their_context(spark):
 
 def test_measure_filters_before_it_sums(spark):
     m = mart(spark, sales=[sale(), sale("O2", customer="C2", revenue=Decimal("40.00"))])
-    from pyspark.sql import functions as F
 
-    got = measures.measure(m["agg_growth_daily"], "average_order_value", "gross_margin", where=F.col("region") == "south")
+    got = measures.measure(m["agg_growth_daily"], "average_order_value", "gross_margin", where=F.col("region") == "south", table="agg_growth_daily")
     assert got.first().asDict() == {"average_order_value": 40.0, "gross_margin": 0.7}
 
 
@@ -310,3 +310,38 @@ def test_params_move_the_calendar(spark):
     m = mart(spark, params, sales=[sale()])
     assert [r["date_key"] for r in dicts(m["fact_sales"])] == [day("1900-01-01")]
     assert m["dim_date"].count() == 1462
+
+
+@pytest.mark.parametrize(
+    ("name", "table"),
+    [("ad_spend", "agg_campaign_performance"), ("return_on_ad_spend", "agg_campaign_performance"),
+     ("customers", "agg_growth_daily"), ("new_customer_count", "agg_campaign_performance")],
+)
+def test_measures_refuse_tables_on_which_they_would_be_wrong(spark, name, table):
+    """Spend that repeats per region, and distinct counts of a finer table."""
+    with pytest.raises(ValueError, match="cannot be read from"):
+        measures.measure(spark.range(1), name, table=table)
+
+
+def test_each_publishing_rule_can_fail(spark):
+    m = mart(spark, sales=[sale("O1"), sale("O2", customer="C2", date="2024-02-10")], marketing=[ad(), ad("A2", date="2024-02-10")])
+    parts = {
+        "growth": m["agg_growth_daily"], "segments": m["agg_customer_segment"], "cohorts": m["agg_customer_cohort"],
+        "acquisition": measures.acquisition_results(m["fact_sales"], m["fact_marketing"], m["dim_customers"]),
+        "campaigns": measures.campaign_results(m["fact_sales"], m["fact_marketing"]), "sales": m["fact_sales"],
+    }
+
+    def failing(**spoiled):
+        rows = checks.kpi_rules(**{**parts, **spoiled}).collect()
+        return {(r["check"], r["target"]) for r in rows if r["violations"]}
+
+    assert failing() == set()
+    half = lambda name, column: parts[name].withColumn(column, F.col(column) / 2)
+    assert ("kpi_order_value", "average_order_value = fact_revenue / orders") in failing(growth=half("growth", "total_revenue"))
+    assert ("kpi_ad_return", "return_on_ad_spend = fact_revenue / ad_spend") in failing(campaigns=half("campaigns", "total_revenue"))
+    assert ("kpi_frequency", "purchase_frequency = fact_orders / customers") in failing(segments=half("segments", "total_orders"))
+    assert ("kpi_segment_share", "shares of all sales of a month sum to 1") in failing(segments=parts["segments"].limit(1))
+    assert {c for c, _ in failing(acquisition=parts["acquisition"].withColumn("new_customers", F.lit(0)))} == {"kpi_acquisition_cost"}
+    assert ("kpi_retention", "month 0 is 100 %") in failing(cohorts=half("cohorts", "retention_rate"))
+    late = parts["cohorts"].withColumn("activity_month", F.add_months("activity_month", 60))
+    assert ("kpi_retention", "no month after the latest sales") in failing(cohorts=late)
