@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from starmart.session import shared_folder
 
@@ -98,6 +99,24 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def map_lists(df: DataFrame, make, schema: str, rows: int = 1024) -> DataFrame:
+    """``make`` maps the columns of some rows, as lists, to a list of result rows.
+
+    Through Arrow and plain Python values, so that a null makes no whole number a float.
+    """
+    kind = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows):
+                made = make(*[c.to_pylist() for c in batch.slice(start, rows).columns])
+                columns = list(zip(*made)) or [()] * len(arrow)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return df.mapInArrow(run, kind)
+
+
 def with_text_value(docs: DataFrame, value, kind: T.DataType, name: str, rows: int = 256) -> DataFrame:
     """``docs`` with a column ``name``; ``value`` maps a list of texts to a list, a few hundred rows at a time.
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import free_name, text_of, with_score
+from starmart.llm.common import free_name, map_lists, text_of, with_score
 
 
 @dataclass(frozen=True)
@@ -177,13 +177,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, params: AlignParams = AlignPara
     for items in item_blocks(benchmark, params):
         shared = docs.sparkSession.sparkContext.broadcast(seeds_of(docs, items, params))
 
-        def run(frames, shared=shared):
-            for frame in frames:
-                rows = [(d, *m) for d, text in zip(frame["doc_id"], frame["text"]) for m in shared.value.found(text)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "first_word", "n_words"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+        def run(ids, texts, shared=shared):
+            return [(d, *m) for d, text in zip(ids, texts) for m in shared.value.found(text)]
 
-        part = docs.select("doc_id", text_of().alias("text")).mapInPandas(run, schema)
+        part = map_lists(docs.select("doc_id", text_of().alias("text")), run, schema)
         out = part if out is None else out.union(part)
     return out
 

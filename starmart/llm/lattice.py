@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import fold, scratch, text_of
+from starmart.llm.common import fold, map_lists, scratch, text_of
 
 
 @dataclass(frozen=True)
@@ -164,25 +164,23 @@ def score_documents(docs: DataFrame, params: LatticeParams = LatticeParams()) ->
     lattice.known.clear()
     shared, head = spark.sparkContext.broadcast(lattice), spark.sparkContext.broadcast(top)
 
-    def per_text(frames):
+    def per_text(doc_ids, hashes, helds, texts):
         model, common = shared.value, head.value
-        for frame in frames:
-            rows = []
-            for doc_id, h, held, text in zip(frame["doc_id"], frame["h"], frame["held_out"], frame["text"]):
-                n_tokens, n_known, base, score = 1, int(ends > 0), math.log10(ends + 0.5) - floor, end
-                for word, k in Counter(tokens(text)).items():
-                    n_tokens += k
-                    found = common.get(word)
-                    if found is None:
-                        rows.append((doc_id, h, held, word.decode(), k, 0, 0, 0.0, model.log10(word, 0, n, kinds) if held else None))
-                    else:
-                        n_known += k
-                        base += k * found[0]
-                        score += k * found[1]
-                # a blank and the text's hash: joins nothing, and spreads
-                rows.append((doc_id, h, held, f" {h}", 1, n_tokens, n_known, base, score))
-            out = pd.DataFrame(rows, columns=["doc_id", "h", "held_out", "word", "k", "n_tokens", "n_known", "base", "score"])
-            yield out.astype({"doc_id": "Int64", "score": "float64"})
+        rows = []
+        for doc_id, h, held, text in zip(doc_ids, hashes, helds, texts):
+            n_tokens, n_known, base, score = 1, int(ends > 0), math.log10(ends + 0.5) - floor, end
+            for word, k in Counter(tokens(text)).items():
+                n_tokens += k
+                found = common.get(word)
+                if found is None:
+                    rows.append((doc_id, h, held, word.decode(), k, 0, 0, 0.0, model.log10(word, 0, n, kinds) if held else None))
+                else:
+                    n_known += k
+                    base += k * found[0]
+                    score += k * found[1]
+            # a blank and the text's hash: joins nothing, and spreads
+            rows.append((doc_id, h, held, f" {h}", 1, n_tokens, n_known, base, score))
+        return rows
 
     def rare(frames):
         for frame in frames:
@@ -190,8 +188,8 @@ def score_documents(docs: DataFrame, params: LatticeParams = LatticeParams()) ->
             yield frame
 
     texts = docs.select("doc_id", F.xxhash64(text_of()).alias("h"), (fold("doc_id", 5) == 1).alias("held_out"), text_of().alias("text"))
-    parts = texts.mapInPandas(
-        per_text, "doc_id long, h long, held_out boolean, word string, k long, n_tokens long, n_known long, base double, score double"
+    parts = map_lists(
+        texts, per_text, "doc_id long, h long, held_out boolean, word string, k long, n_tokens long, n_known long, base double, score double", 256
     )
     words = counts.filter("word <> ' end'").mapInPandas(rare, "word string, c long, lp double")
     own, unknown = F.col("word").startswith(" "), math.log10(0.5) - floor

@@ -14,9 +14,9 @@ from collections import Counter, deque
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from starmart.llm.common import map_lists
 
 
 @dataclass(frozen=True)
@@ -253,10 +253,7 @@ def main_text(pages: DataFrame, params: CutParams = CutParams()) -> DataFrame:
     labelled by itself, so nothing is shuffled.
     """
 
-    def run(frames):
-        for frame in frames:
-            texts = [extract(html, params) for html in frame["html"]]
-            yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+    def run(ids, urls, htmls):
+        return [(i, url, text := extract(html, params), len(text)) for i, url, html in zip(ids, urls, htmls)]
 
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-    return rows.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return map_lists(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long", 256)

@@ -5,8 +5,7 @@ a node picks two places of the minwise sketch, and each class goes to the two ch
 classes of similarity s share a child per place with probability s, so similar ones meet in some node with the recall
 that the trees' number sets, and others part.
 
-Nodes of the first level compare every member with one pivot, which is the same for members of many nodes; confirmed
-links make first components. After that a node matters only where it holds several components: if few members stand
+Nodes of the first level compare every member with two pivots; confirmed links make first components. After that a node matters only where it holds several components: if few members stand
 outside its largest component, these meet all members, block by block; otherwise the node branches on. So copies are
 never expanded into all pairs, and no node is ever held by one task.
 """
@@ -23,19 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import cut, free_name, scratch, text_of, with_text_value
+from starmart.llm.common import cut, free_name, map_lists, scratch, text_of, with_text_value
 
 
 @dataclass(frozen=True)
 class JoinParams:
-    """``candidate`` is the similarity of sketches from which full sets are compared, 3 deviations below the bound.
+    """``candidate`` is the similarity of sketches from which full sets are compared, 4 deviations below the bound.
     ``outside`` bounds the members outside a node's largest component that are compared at once; from ``depth`` on
     more of them are compared in several parts. ``broadcast_ids`` bounds a broadcast; beyond it ids are shuffled."""
 
     words: int = 5
     percent: int = 75
-    sketch: int = 64
-    trees: int = 4
+    sketch: int = 96
+    trees: int = 5
     branches: int = 2
     candidate: float = 0.58
     outside: int = 256
@@ -87,17 +86,15 @@ def class_of(hashes: np.ndarray) -> int:
 def sketched(docs: DataFrame, params: JoinParams) -> DataFrame:
     """doc_id, n_shingles, class and sketch of every row; empty texts have neither class nor sketch."""
 
-    def run(frames):
-        for frame in frames:
-            rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                h = shingles(text, params.words)
-                rows.append((doc_id, len(h), class_of(h), sketch_of(h, params)) if len(h) else (doc_id, 0, None, None))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "class", "sketch"])
-            yield out.astype({"doc_id": "Int64", "class": "Int64"})
+    def run(ids, texts):
+        rows = []
+        for doc_id, text in zip(ids, texts):
+            h = shingles(text, params.words)
+            rows.append((doc_id, len(h), class_of(h), sketch_of(h, params)) if len(h) else (doc_id, 0, None, None))
+        return rows
 
     schema = "doc_id long, n_shingles long, class long, sketch array<int>"
-    return docs.select("doc_id", text_of().alias("text")).mapInPandas(run, schema)
+    return map_lists(docs.select("doc_id", text_of().alias("text")), run, schema)
 
 
 def similarity(a: str, b: str) -> Column:
@@ -210,12 +207,15 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     roots = classes.select("class", "sketch", trees.alias("path"))
 
     def shared_nodes(nodes: DataFrame) -> DataFrame:
-        """Without the nodes of one member."""
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("class").alias("h"), "class")).alias("p"))
-        return nodes.join(sizes.filter("n > 1").select("path", F.col("p.class").alias("pivot")), "path")
+        """Without the nodes of one member; each with two pivots, others in every node, so that a group of near copies
+        of which each resembles only some of the others has many."""
+        drawn = F.struct(F.xxhash64("class", "path").alias("h"), "class")
+        sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min(drawn).alias("p"), F.max(drawn).alias("q"))
+        return nodes.join(sizes.filter("n > 1").select("path", F.col("p.class").alias("p"), F.col("q.class").alias("q")), "path")
 
     level = cut(shared_nodes(children(roots, params)))
-    star = level.filter("class <> pivot").select(F.col("pivot").alias("a"), F.col("class").alias("b")).distinct()
+    star = level.select("class", F.explode(F.array("p", "q")).alias("pivot")).filter("class <> pivot")
+    star = star.select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct()
     star = star.join(sketches.select(F.col("class").alias("b"), F.col("sketch").alias("sb")), "b")
     star = star.join(sketches.select(F.col("class").alias("a"), F.col("sketch").alias("sa")), "a")
     star = cut(star.filter(similarity("sa", "sb") >= params.candidate).select("a", "b"))
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
         )
         nodes = nodes.filter("kinds > 1").select("path", "n", (F.col("n") - F.col("l.n")).alias("f"), F.col("l.largest").alias("largest"))
         if depth == 1:
-            nodes = nodes.filter("n > 2")  # of two members, one was the other's pivot
+            nodes = nodes.filter("n > 3")  # of three members, two were pivots
         mixed = cut(level.join(nodes, "path").join(comps, "class").join(sketches, "class"))
         last = depth == params.depth
         small = mixed if last else mixed.filter(F.col("f") <= params.outside)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import cut, text_of
+from starmart.llm.common import cut, map_lists, text_of
 
 
 @dataclass(frozen=True)
@@ -65,18 +65,16 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, params: PackParams = PackParams()) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every piece of every row."""
 
-    def run(frames):
-        for frame in frames:
-            rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = token_ids(text, params)
-                for k, (start, length) in enumerate(cuts(len(ids), params.capacity)):
-                    rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+    def run(doc_ids, texts):
+        rows = []
+        for doc_id, text in zip(doc_ids, texts):
+            ids = token_ids(text, params)
+            for k, (start, length) in enumerate(cuts(len(ids), params.capacity)):
+                rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
+        return rows
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return docs.select("doc_id", text_of().alias("text")).mapInPandas(run, schema)
+    return map_lists(docs.select("doc_id", text_of().alias("text")), run, schema)
 
 
 class Packing:
