@@ -8,9 +8,9 @@ compare; a fixed threshold decides every document.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +24,16 @@ WINDOW = 8
 class RatioParams:
     """``buckets`` bounds what the driver gets and every task holds."""
 
-    buckets: int = 1 << 16
-    smoothing: float = 1.0
+    buckets: int = 1 << 20
+    smoothing: float = 4.0
     least_words: int = 20
     repeat_percent: int = 30
     trusted_upper_percent: int = 25
     trusted_distinct_percent: int = 40
-    threshold: float = -0.2
+    threshold: float = -0.4
+    #: A bucket's logarithm is kept as one ASCII sign: this many steps per unit, the sign of 0 at ``zero``.
+    steps: int = 24
+    zero: int = 96
 
 
 def without(column: Column, characters: str) -> Column:
@@ -101,21 +104,21 @@ def trusted(params: RatioParams) -> Column:
     )
 
 
-def ratios(rows: DataFrame, params: RatioParams) -> list[float]:
-    """Per bucket the logarithm of trusted against raw share, from all documents; ``buckets`` numbers."""
+def ratios(rows: DataFrame, params: RatioParams) -> bytes:
+    """Per bucket the logarithm of trusted against raw share, from all documents, as one byte below 128."""
     counted = (
         # judged before the rows multiply
         rows.select("_hashes", trusted(params).alias("t"))
         .select("t", F.explode(grams(F.col("_hashes"), params.buckets)).alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.count_if("t").alias("target"))
-        .collect()
+        .toPandas()
     )
-    raw, target = {r["bucket"]: r["raw"] for r in counted}, {r["bucket"]: r["target"] for r in counted}
-    a, m = params.smoothing, params.buckets
-    of = lambda counts, b, total: math.log((counts.get(b, 0) + a) / (total + a * m))
-    all_raw, all_target = sum(raw.values()), sum(target.values())
-    return [round(of(target, b, all_target) - of(raw, b, all_raw), 4) for b in range(m)]
+    raw, target = np.zeros(params.buckets), np.zeros(params.buckets)
+    raw[counted["bucket"]], target[counted["bucket"]] = counted["raw"], counted["target"]
+    share = lambda n: np.log((n + params.smoothing) / (n.sum() + params.smoothing * params.buckets))
+    signs = np.round((share(target) - share(raw)) * params.steps) + params.zero
+    return np.clip(signs, 0, 127).astype(np.uint8).tobytes()
 
 
 def judge(docs: DataFrame, params: RatioParams = RatioParams()) -> DataFrame:
@@ -125,8 +128,11 @@ def judge(docs: DataFrame, params: RatioParams = RatioParams()) -> DataFrame:
     counting scans the texts once, the verdict once more; nothing but the bucket counts is shuffled.
     """
     rows = prepared(docs)
-    table = F.split(F.lit(",".join(map(str, ratios(rows, params)))), ",").cast("array<double>")
-    total = F.aggregate(grams(F.col("_hashes"), params.buckets), F.lit(0.0), lambda acc, b: acc + F.get(table, b))
+    table = F.lit(ratios(rows, params))
+    sign = lambda b: F.ascii(F.substring(table, b + 1, F.lit(1)).cast("string"))
+    signs = F.aggregate(grams(F.col("_hashes"), params.buckets), F.lit(0).cast("long"), lambda acc, b: acc + sign(b))
+    n_grams = F.greatest(2 * F.size("_hashes") - 1, F.lit(0))
+    total = (signs - params.zero * n_grams) / params.steps
     measured = rows.select(
         "doc_id",
         F.size("_hashes").cast("long").alias("n_words"),
@@ -134,7 +140,7 @@ def judge(docs: DataFrame, params: RatioParams = RatioParams()) -> DataFrame:
         (F.length("_text") - without(F.col("_text"), SYMBOLS)).cast("long").alias("n_symbols"),
         duplicate_lines().alias("n_dup_lines"),
         repeated_words(F.col("_hashes")).alias("n_repeat_words"),
-        (total / F.greatest(2 * F.size("_hashes") - 1, F.lit(1))).alias("log_ratio"),
+        (total / F.greatest(n_grams, F.lit(1))).alias("log_ratio"),
     )
     failed = (F.col("n_words") < params.least_words) | (100 * F.col("n_repeat_words") > params.repeat_percent * F.col("n_words"))
     judged = measured.withColumn("base_failed", failed)
