@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman scores them.
 
 Test items are a stated query set, taken in blocks of bounded size; each block is broadcast. One scan of all documents
-counts in how many each n-gram of the items occurs. An item's seeds are its rarer half, so common phrases join nothing,
-and an item that leaked into many documents still has seeds. A second scan finds the seeds in every whole text, and
+counts in how many each n-gram of the items occurs. An item's seeds are its n-grams but for those far more common than
+its rarer half: common phrases join nothing, an item that leaked into many documents still has seeds, and so have the
+parts of it that stand in an edited copy besides the exact ones. A second scan finds the seeds in every whole text, and
 local alignment of the passage around them with the item, word by word, scores exact, edited and paraphrased copies.
 """
 
@@ -30,6 +31,8 @@ class AlignParams:
     mismatch: float = -1.0
     gap: float = 1.0
     threshold: float = 0.5
+    common: int = 4
+    slack: int = 10
     least_seeds: int = 2
     block_bytes: int = 4 << 20
 
@@ -138,7 +141,7 @@ def item_blocks(benchmark: DataFrame, params: AlignParams):
 
 
 def seeds_of(docs: DataFrame, items: list[tuple[int, list[bytes]]], params: AlignParams) -> Seeds:
-    """Document counts of all the items' n-grams over all documents; each item keeps its rarer half as seeds."""
+    """Document counts of all the items' n-grams over all documents; each item keeps those that are rare for it."""
     context = docs.sparkSession.sparkContext
     grams = {g: k for k, g in enumerate(dict.fromkeys(g for _, w in items for g in plain_grams(w, params.gram)))}
     shared = context.broadcast((grams, sorted({len(g) for g in grams})))
@@ -159,7 +162,8 @@ def seeds_of(docs: DataFrame, items: list[tuple[int, list[bytes]]], params: Alig
     counts = []
     for i, (_, words) in enumerate(items):
         own = sorted(set(plain_grams(words, params.gram)), key=lambda g: (in_docs.get(grams[g], 0), g))
-        own = own[: max(params.least_seeds, math.ceil(len(own) * params.rare_share))]
+        middle = in_docs.get(grams[own[max(0, math.ceil(len(own) * params.rare_share) - 1)]], 0)
+        own = [g for g in own if in_docs.get(grams[g], 0) <= params.common * middle + params.slack]
         counts.append(len(own))
         for g in own:
             postings[g].append(i)
