@@ -24,8 +24,8 @@ from starmart.llm.common import fold, free_name, labelled_sample, with_score
 class NeighbourParams:
     """Labelled rows are a bounded sample: ``per_class`` ids of each class at most, so is what is broadcast."""
 
-    per_class: int = 1500
-    bits: int = 11
+    per_class: int = 1000
+    bits: int = 10
     latent: int = 48
     neighbours: int = 15
     sharpness: float = 4.0
@@ -106,8 +106,9 @@ def train(rows: np.ndarray, labels: np.ndarray, share: float, params: NeighbourP
         return NeighbourModel(np.zeros((width, 1)), np.zeros((0, 1)), labels, np.zeros(0), share, params)
     rarity = np.log((1 + len(rows)) / (1 + (rows > 0).sum(0))) + 0.25
     weighted = rows * rarity
-    _, _, axes = np.linalg.svd(weighted, full_matrices=False)
-    project = (rarity[:, None] * axes[: params.latent].T).astype(np.float64)
+    # right singular vectors from the small square matrix: no copy of the sample is made
+    _, axes = np.linalg.eigh(weighted.T @ weighted)
+    project = rarity[:, None] * axes[:, ::-1][:, : params.latent]
     vectors = rows @ project
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     of_class = {v: (labels == v).mean() for v in (0, 1)}

@@ -22,7 +22,7 @@ from starmart.llm.common import fold, free_name, labelled_sample, with_score
 class SubwordParams:
     """Labelled rows are a bounded sample: ``per_class`` ids of each class at most."""
 
-    per_class: int = 2000
+    per_class: int = 1500
     bits: int = 17
     width: int = 12
     shortest: int = 3
@@ -141,7 +141,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: SubwordParams = SubwordParam
     def bags(frames):
         for frame in frames:
             made = [bag(text, params) for text in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "h": frame["h"], "ids": [a.tobytes() for a, _ in made], "shares": [b.tobytes() for _, b in made]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "h": frame["h"], "ids": [a.tobytes() for a, _ in made], "shares": [b.astype(np.float16).tobytes() for _, b in made]})
 
     rows = (
         sample.withColumn("h", F.xxhash64("text"))
@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: SubwordParams = SubwordParam
         .limit(2 * params.per_class)
         .toPandas()
     )
-    made = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float32)) for a, b in zip(rows["ids"], rows["shares"])]
+    made = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float16)) for a, b in zip(rows["ids"], rows["shares"])]
     return train(made, rows["label"].to_numpy(int), share, params)
 
 
