@@ -113,7 +113,8 @@ def word_counts(docs: DataFrame, params: LatticeParams) -> DataFrame:
                 if len(total) > params.flush:
                     yield make()
                     total.clear()
-        yield make()
+        if total:
+            yield make()
 
     train = docs.filter(fold("doc_id", 5) != 1).select(text_of().alias("text"))
     return train.mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
