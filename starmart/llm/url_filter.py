@@ -99,9 +99,8 @@ def spread(seeds: DataFrame, edges: DataFrame, params: TrustParams) -> DataFrame
     ranks = nodes.withColumn("rank", F.col("seed"))
     d = params.damping
     for step in range(1, params.steps + 1):
-        sent = ranks.join(both, (ranks["kind"] == both["kind"]) & (ranks["host"] == both["a"])).select(
-            both["kind"], both["b"].alias("host"), (F.col("rank") * F.col("share")).alias("got")
-        )
+        sent = ranks.select("kind", F.col("host").alias("a"), "rank").join(both, ["kind", "a"])
+        sent = sent.select("kind", F.col("b").alias("host"), (F.col("rank") * F.col("share")).alias("got"))
         got = sent.groupBy("kind", "host").agg(F.sum("got").alias("got"))
         kept = F.when(F.col("leaves"), 0.0).otherwise(F.col("rank"))
         rank = (1 - d) * F.col("seed") + d * (F.coalesce("got", F.lit(0.0)) + kept)
