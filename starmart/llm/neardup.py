@@ -37,8 +37,8 @@ class JoinParams:
     trees: int = 5
     branches: int = 2
     candidate: float = 0.58
-    outside: int = 256
-    block: int = 512
+    outside: int = 2048
+    block: int = 2048
     depth: int = 10
     best: int = 3
     broadcast_ids: int = 500_000
