@@ -7,7 +7,8 @@ that the trees' number sets, and others part.
 
 Nodes of the first level compare every member with two pivots; confirmed links make first components. After that a node matters only where it holds several components: if few members stand
 outside its largest component, these meet all members, block by block; otherwise the node branches on. So copies are
-never expanded into all pairs, and no node is ever held by one task.
+never expanded into all pairs, and no node is ever held by one task. A member's candidates in a component are confirmed
+in rounds, most alike first, until one links or none is left.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ from starmart.llm.common import cut, free_name, map_lists, scratch, text_of, wit
 class JoinParams:
     """``candidate`` is the similarity of sketches from which full sets are compared, 4 deviations below the bound.
     ``outside`` bounds the members outside a node's largest component that are compared at once; from ``depth`` on
-    more of them are compared in several parts. ``broadcast_ids`` bounds a broadcast; beyond it ids are shuffled."""
+    more of them are compared in several parts. ``best`` candidates of a member in a component are confirmed first; a
+    round that leaves the two apart is followed by one that reaches ``wider`` times as far. ``broadcast_ids`` bounds a
+    broadcast; beyond it ids are shuffled."""
 
     words: int = 5
     percent: int = 75
@@ -41,6 +44,7 @@ class JoinParams:
     block: int = 2048
     depth: int = 10
     best: int = 3
+    wider: int = 8
     broadcast_ids: int = 500_000
     seed: int = 5
 
@@ -155,33 +159,39 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.select("class").join(linked, "class", "left").select("class", F.coalesce("comp", "class").alias("comp"))
 
 
-def across(rows: DataFrame, params: JoinParams) -> DataFrame:
-    """Candidate pairs (a, b) between components within a node; rows: path, class, comp, sketch, part, outside.
+def across(rows: DataFrame, params: JoinParams, low: int, high: int) -> DataFrame:
+    """Candidate pairs (a, b) between components within a node; rows: path, class, comp, now, sketch, part, outside.
 
-    A task gets a few small nodes, or one block of a node's largest component with a part of those outside it.
+    A task gets a few small nodes, or one block of a node's largest component with a part of those outside it. Of a
+    member's candidates in a component (``comp``, most alike first) those at places ``low`` to ``high`` are given, and
+    only if links found since have not joined the two (``now``). So if none are given, none are left further on.
     """
 
     def run(table):
         import pyarrow as pa
 
         frame = table.to_pandas()
-        found = []
+        found = [np.zeros((0, 2), np.int64)]
         for _, node in frame.groupby("path", sort=True):
-            out = node["outside"].to_numpy()
-            if not out.any():
+            out, now = node["outside"].to_numpy(), node["now"].to_numpy()
+            if not out.any() or (now == now[0]).all():
                 continue
             sketch = np.stack(node["sketch"].to_numpy())
             comp, ids = node["comp"].to_numpy(), node["class"].to_numpy()
             for x in np.flatnonzero(out):
-                like = (sketch == sketch[x]).mean(1)
-                near = np.flatnonzero((like >= params.candidate) & (comp != comp[x]))
-                taken: dict[int, int] = {}
-                for y in near[np.lexsort((ids[near], -like[near]))]:
-                    if taken.setdefault(comp[y], 0) < params.best:
-                        taken[comp[y]] += 1
-                        found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
-        found = sorted(set(found))
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+                apart = np.flatnonzero(now != now[x])
+                like = (sketch[apart] == sketch[x]).mean(1)
+                near, like = apart[like >= params.candidate], like[like >= params.candidate]
+                if not len(near):
+                    continue
+                order = np.lexsort((ids[near], -like, comp[near]))
+                near = near[order]
+                first = np.flatnonzero(np.r_[True, comp[near][1:] != comp[near][:-1]])
+                place = np.arange(len(near)) - np.repeat(first, np.diff(np.r_[first, len(near)]))
+                y = ids[near[(place >= low) & (place < high)]]
+                found.append(np.stack([np.minimum(y, ids[x]), np.maximum(y, ids[x])], 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     return rows.groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
@@ -222,7 +232,7 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     links = confirmed(star, classes, docs, params, f"{folder}/first")
     comps = cut(components(classes, links))
 
-    found = []
+    kept = []
     level = level.select("path", "class")
     for depth in range(1, params.depth + 1):
         parts = level.join(comps, "class").groupBy("path", "comp").agg(F.count("*").alias("n"))
@@ -234,18 +244,28 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
             nodes = nodes.filter("n > 3")  # of three members, two were pivots
         mixed = cut(level.join(nodes, "path").join(comps, "class").join(sketches, "class"))
         last = depth == params.depth
-        small = mixed if last else mixed.filter(F.col("f") <= params.outside)
-        found.append(cut(across(dealt(small, params), params)))
+        kept.append(mixed if last else mixed.filter(F.col("f") <= params.outside))
         if last:
             break
         level = cut(children(mixed.filter(F.col("f") > params.outside).select("path", "class", "sketch"), params))
         level = cut(shared_nodes(level).select("path", "class"))
         if level.isEmpty():
             break
-    more = cut(reduce(DataFrame.union, found).distinct())
-    if not more.isEmpty():
-        links = links.union(confirmed(more, classes, docs, params, f"{folder}/second"))
-        comps = cut(components(classes, links))
+    members = reduce(DataFrame.union, kept)
+    low, high = 0, params.best
+    while True:
+        current = members.join(comps.select("class", F.col("comp").alias("now")), "class")
+        if low:
+            apart = current.groupBy("path").agg(F.min("now").alias("least"), F.max("now").alias("most")).filter("least < most")
+            current = current.join(apart.select("path"), "path", "left_semi")
+        more = cut(across(dealt(cut(current), params), params, low, high))
+        if more.isEmpty():
+            break
+        new = confirmed(more, classes, docs, params, f"{folder}/from{low}")
+        if not new.isEmpty():
+            links = cut(links.union(new))
+            comps = cut(components(classes, links))
+        low, high = high, high * params.wider
     least = classes.join(comps, "class").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_class = comps.join(least, "comp").select("class", "component_id")
     joined = rows.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
@@ -277,8 +297,8 @@ def dealt(mixed: DataFrame, params: JoinParams) -> DataFrame:
     as_other = F.transform(seq(some), lambda q: F.struct(q.alias("q"), (few + chunk).alias("b"), F.lit(False).alias("o")))
     as_native = F.transform(seq(some), lambda q: F.struct(q.alias("q"), block.alias("b"), F.lit(False).alias("o")))
     meets = F.when(F.col("outside"), F.when(some > 1, F.concat(as_asker, F.filter(as_other, lambda s: s["q"] != chunk))).otherwise(F.slice(as_asker, 1, few.cast("int")))).otherwise(as_native)
-    spread = rows.filter(~small).withColumn("m", F.explode(meets)).select("path", "class", "comp", "sketch", F.xxhash64("path", "m.q", "m.b").alias("part"), F.col("m.o").alias("outside"))
-    together = rows.filter(small).select("path", "class", "comp", "sketch", F.pmod(F.xxhash64("path"), F.lit(groups)).alias("part"), "outside")
+    spread = rows.filter(~small).withColumn("m", F.explode(meets)).select("path", "class", "comp", "now", "sketch", F.xxhash64("path", "m.q", "m.b").alias("part"), F.col("m.o").alias("outside"))
+    together = rows.filter(small).select("path", "class", "comp", "now", "sketch", F.pmod(F.xxhash64("path"), F.lit(groups)).alias("part"), "outside")
     return together.union(spread)
 
 
