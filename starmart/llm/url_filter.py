@@ -1,8 +1,10 @@
 """URL filters: rules by host and path, and trust spread over the links between hosts.
 
 Where no rule fits, the host decides. A host's seeds are the shares of its pages that the rules allow and block. Trust
-is the personalised PageRank of the allowed seeds along the links, distrust that of the blocked seeds against them: who
-links to blocked hosts shares their blame. Both run in one job per step over the distinct host edges.
+is the personalised PageRank of the allowed seeds along the links, distrust that of the blocked seeds against them.
+A PageRank is divided among a host's neighbours, so its size says little about one of them: hosts are judged by blame,
+the damped mean blame of what their own links lead to, and their blocked seed at least. So who links to blocked hosts
+shares their blame, however many others do, and linked to or not.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ LINK = r"""(?i)<[^>]*?\s(?:href|src|action)\s*=\s*["']?\s*([^"'\s>]+)"""
 
 @dataclass(frozen=True)
 class TrustParams:
-    """A host is blocked when its distrust reaches ``threshold`` and its trust. Steps go on until no score moves by
+    """A host is blocked when its blame reaches ``threshold``, its trust and its allowed seed. Steps go on until no score moves by
     ``tolerance``; ``steps`` ends them where that is already certain: damping ** steps is below it."""
 
     rules: tuple[tuple[str, str, str], ...] = RULES
@@ -114,6 +116,26 @@ def spread(seeds: DataFrame, edges: DataFrame, params: TrustParams) -> DataFrame
     return ranks.groupBy("host").agg(of("t").alias("trust"), of("d").alias("distrust"))
 
 
+def blamed(seeds: DataFrame, edges: DataFrame, params: TrustParams) -> DataFrame:
+    """(host, blame) of hosts with any: the blocked seed or, if greater, the damped mean over the host's own links."""
+    all_links = edges.groupBy("src").agg(F.sum("links").alias("all_links"))
+    shares = cut(edges.join(all_links, "src").select("src", "dst", (F.col("links") / F.col("all_links")).alias("share")))
+    seeds = cut(seeds.filter("distrust > 0").select("host", F.col("distrust").alias("blame")))
+    if shares.isEmpty():
+        return seeds
+    now = seeds
+    for step in range(1, params.steps + 1):
+        got = shares.join(now.select(F.col("host").alias("dst"), "blame"), "dst").groupBy(F.col("src").alias("host"))
+        got = got.agg((F.lit(params.damping) * F.sum(F.col("share") * F.col("blame"))).alias("blame"))
+        was, now = now, got.union(seeds).groupBy("host").agg(F.max("blame").alias("blame"))
+        if step % params.per_cut == 0 or step == params.steps:
+            was, now = cut(was), cut(now)
+            moved = now.join(was.withColumnRenamed("blame", "was"), "host", "left").select(F.max(F.col("blame") - F.coalesce("was", F.lit(0.0))))
+            if (moved.first()[0] or 0.0) < params.tolerance:
+                break
+    return now
+
+
 def judge(pages: DataFrame, params: TrustParams = TrustParams()) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of ``pages``.
 
@@ -124,8 +146,10 @@ def judge(pages: DataFrame, params: TrustParams = TrustParams()) -> DataFrame:
     rows = ruled(pages, params)
     of = lambda verdict: F.count_if(F.col("verdict") == verdict) / F.count("*")
     seeds = cut(rows.filter("host <> ''").groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust")))
-    hosts = spread(seeds, host_edges(pages), params)
-    bad = (F.col("distrust") >= params.threshold) & (F.col("distrust") >= F.col("trust"))
+    edges = cut(host_edges(pages))
+    hosts = spread(seeds, edges, params).select("host", "trust").join(blamed(seeds, edges, params), "host")
+    hosts = hosts.join(seeds.select("host", F.col("trust").alias("seed")), "host", "left")
+    bad = (F.col("blame") >= params.threshold) & (F.col("blame") >= F.greatest("trust", "seed"))
     blocked = cut(hosts.filter(bad).select("host", F.lit("block").alias("_host_verdict")))
     if blocked.count() <= params.broadcast_hosts:
         blocked = F.broadcast(blocked)

@@ -88,3 +88,20 @@ def test_empty_repeated_and_extra_columns(spark):
     rows = spark.createDataFrame([(1, "http://a.com/", ""), (1, "http://a.com/", ""), (None, "http://a.com/", "")], PAGES)
     rows = rows.selectExpr("*", "1 as host", "2 as verdict", "3 as rule", "4 as trust")
     assert [r["verdict"] for r in url_filter.judge(rows).collect()] == ["allow"] * 3
+
+
+def test_blame_does_not_depend_on_the_number_of_linkers(spark):
+    """Production parameters; pages of net hosts under /es/ are blocked, com hosts are allowed."""
+    to = lambda *hosts: "".join(f"<a href='http://{h}/es/1'>x</a>" for h in hosts)
+    blocked = {"one.net": "", "two.net": "", "many.net": "", "end.net": "", "out.net": to("else.org")}
+    linkers = {"l1.org": to("one.net"), "l2a.org": to("two.net"), "l2b.org": to("two.net"), "lout.org": to("out.net")}
+    linkers |= {f"m{k}.org": to("many.net") for k in range(30)} | {"far.org": to("fan.org"), "fan.org": to("end.net")}
+    allowed = {"mostly.org": to("one.net", "p.org", "q.org", "r.org"), "good.com": to("one.net"), "p.org": ""}
+    pages = [(f"http://{h}/es/1", html) for h, html in {**blocked, **linkers}.items()] + [(f"http://{h}/1", html) for h, html in allowed.items()]
+    pages += [("http://half.net/es/1", ""), ("http://half.net/other", ""), ("http://h1.org/1", to("half.net")), ("http://h2.org/1", to("half.net"))]
+    rows = [(i, url, html) for i, (url, html) in enumerate(pages)]
+    got = judged(spark, rows)
+    verdict = {r["host"] + r["path"]: r["verdict"] for r in got.values()}
+    assert {verdict[f"{h}/es/1"] for h in (*blocked, *linkers)} == {"block"}
+    assert verdict["half.net/other"] == "block" and verdict["h1.org/1"] == verdict["h2.org/1"] == "allow"  # 0.5 of its pages, 0.85 of that
+    assert {verdict[f"{h}/1"] for h in allowed} == {"allow"}
