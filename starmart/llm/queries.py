@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontamination, lattice, main_text, neardup, neighbours, packing, quality_rules, sharding, toxicity, url_filter
+from starmart.llm import decontamination, lattice, main_text, neardup, neighbours, packing, quality_rules, sharding, spelling, toxicity, url_filter
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,10 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2:3].isdigit()
 }
