@@ -6,8 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import decontamination, lattice, main_text, neardup, neighbours, packing, quality_rules, sharding, spelling, toxicity, url_filter
+from starmart.llm import (
+    decontamination,
+    lattice,
+    main_text,
+    neardup,
+    neighbours,
+    packing,
+    private_data,
+    quality_rules,
+    sharding,
+    spelling,
+    toxicity,
+    trie,
+    url_filter,
+)
 from starmart.llm.common import table
+from starmart.llm.expected import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,9 +75,14 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"))
 
 
+def op12_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    return private_data.find(table(spark, folder, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2:3].isdigit()
 }
-
-#: Expected results as SQL, for the queries SQL can express.
-ORACLE_SQL: dict[str, str] = {}
