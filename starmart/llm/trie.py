@@ -84,16 +84,15 @@ def rebuilt(turns: DataFrame, params: TrieParams = TrieParams()) -> tuple[DataFr
     lengths = turns.groupBy("conv_id").agg(F.count("*").alias("own"))
     shared = F.crc32(F.col("conv_id").cast("string")) % params.shared
     plan = lengths.select("conv_id", "own", (F.col("conv_id") - F.col("conv_id") % params.block).alias("base"), shared.alias("h"))
-    of_base = lengths.select(F.col("conv_id").alias("base"), F.col("own").alias("base_turns"))
+    base_turns = lengths.select(F.col("conv_id").alias("base"), F.col("own").alias("base_turns"))
     plan = cut(
-        plan.join(of_base, "base", "left").withColumn("taken", F.least("h", F.coalesce("base_turns", F.lit(0))))
+        plan.join(base_turns, "base", "left").withColumn("taken", F.least("h", F.coalesce("base_turns", F.lit(0))))
     )
     # turns of the base before place h keep their place, own turns from place h on follow them
-    ways = F.array(
-        F.struct(F.col("base").alias("source"), F.lit(0).cast("long").alias("least"), F.col("h").alias("most"), F.lit(0).cast("long").alias("shift")),
-        F.struct("conv_id", "h", F.lit(2**62).alias("most"), (F.col("taken") - F.col("h")).alias("shift")),
-    )
-    ways = plan.select(F.col("conv_id").alias("_conv"), F.explode(ways).alias("_way")).select("_conv", "_way.*")
+    names, zero = ["_conv", "source", "least", "most", "shift"], F.lit(0).cast("long")
+    of_base = plan.select("conv_id", "base", zero, "h", zero).toDF(*names)
+    of_own = plan.select("conv_id", F.col("conv_id"), "h", F.lit(2**62), F.col("taken") - F.col("h")).toDF(*names)
+    ways = of_base.unionByName(of_own)
     rows = turns.join(ways, (F.col("conv_id") == F.col("source")) & (F.col("place") >= F.col("least")) & (F.col("place") < F.col("most")))
     lengths = plan.select("conv_id", (F.col("taken") + F.greatest(F.lit(0), F.col("own") - F.col("h"))).alias("length"))
     return rows.select(F.col("_conv").alias("conv_id"), (F.col("place") + F.col("shift")).alias("place"), "x", "y", "bytes"), lengths
