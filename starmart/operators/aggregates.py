@@ -145,9 +145,13 @@ def agg_customer_segment(sales: DataFrame, customers: DataFrame, params: MartPar
     return with_loaded_at(table, params)
 
 
-def agg_customer_cohort(sales: DataFrame, customers: DataFrame, params: MartParams) -> DataFrame:
+def agg_customer_cohort(
+    sales: DataFrame, customers: DataFrame, params: MartParams, latest_month: Column | None = None
+) -> DataFrame:
     """First-purchase month x region x months since, 0 to 11, up to the latest month with sales.
 
+    ``latest_month`` is given when ``sales`` holds only some months.
+
     A cohort without a region is listed, but its activity is never matched, so it reads 0 active.
     """
     cohort, offset = ["cohort_month", "region"], "months_since_acquisition"
@@ -165,7 +169,8 @@ def agg_customer_cohort(sales: DataFrame, customers: DataFrame, params: MartPara
         .agg(F.count_distinct("customer_key").alias("active_customers"))
     )
 
-    latest_month = sales.agg(month_of(F.max("date_key")).alias("latest_month")).scalar()
+    if latest_month is None:
+        latest_month = sales.agg(month_of(F.max("date_key")).alias("latest_month")).scalar()
     calendar = (
         sizes.withColumn(offset, F.explode(F.sequence(F.lit(0), F.lit(COHORT_MONTHS - 1))))
         .withColumn("activity_month", F.add_months("cohort_month", F.col(offset)))

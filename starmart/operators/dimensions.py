@@ -81,7 +81,12 @@ def customer_orders(sales: DataFrame) -> DataFrame:
 
 
 def dim_customers(customers: DataFrame, sales: DataFrame, params: MartParams) -> DataFrame:
-    rows = customers.join(customer_orders(sales), "customer_id", "left").select(
+    return customers_with_history(customers, customer_orders(sales), params)
+
+
+def customers_with_history(customers: DataFrame, history: DataFrame, params: MartParams) -> DataFrame:
+    """``history`` has the columns of ``customer_orders``."""
+    rows = customers.join(history, "customer_id", "left").select(
         surrogate_key("customer_id").alias("customer_key"),
         "customer_id",
         "gender",

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from starmart.functions import clean, clean_lower
 from starmart.sources.schemas import DISCOUNT, INGESTED_AT, MONEY
 
+# The natural keys, and what decides between copies of a key.
+SALES_KEY, SALES_ORDER = ["order_id", "product_id"], [INGESTED_AT, "price", "quantity", "discount"]
+ADS_KEY, ADS_ORDER = ["ads_id"], [INGESTED_AT, "ad_spend"]
+
 
 def stg_campaigns(raw: DataFrame) -> DataFrame:
     return raw.select(
@@ -55,7 +59,12 @@ def stg_products(raw: DataFrame) -> DataFrame:
 
 
 def stg_sales(raw: DataFrame) -> DataFrame:
-    rows = raw.select(
+    return latest_copy(typed_sales(raw), SALES_KEY, SALES_ORDER)
+
+
+def typed_sales(raw: DataFrame) -> DataFrame:
+    """Every copy of every line, trimmed and typed, with its ingestion stamp."""
+    return raw.select(
         clean("order_id"),
         clean("customer_id"),
         clean_lower("customer_status"),
@@ -74,11 +83,15 @@ def stg_sales(raw: DataFrame) -> DataFrame:
         clean("campaign_id"),
         INGESTED_AT,
     )
-    return latest_copy(rows, ["order_id", "product_id"], [INGESTED_AT, "price", "quantity", "discount"])
 
 
 def stg_marketing(raw: DataFrame) -> DataFrame:
-    rows = raw.select(
+    return latest_copy(typed_marketing(raw), ADS_KEY, ADS_ORDER)
+
+
+def typed_marketing(raw: DataFrame) -> DataFrame:
+    """Every copy of every ad record, trimmed and typed, with its ingestion stamp."""
+    return raw.select(
         clean("ads_id"),
         clean("campaign_id"),
         clean_lower("channel_name"),
@@ -91,11 +104,15 @@ def stg_marketing(raw: DataFrame) -> DataFrame:
         clean_lower("campaign_type"),
         INGESTED_AT,
     )
-    return latest_copy(rows, ["ads_id"], [INGESTED_AT, "ad_spend"])
 
 
 def latest_copy(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row by ``order`` for each key, the ingestion stamp dropped.
+    """The last row by ``order`` for each key, the ingestion stamp dropped."""
+    return latest_stamped(rows, keys, order).drop(INGESTED_AT)
+
+
+def latest_stamped(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The last row by ``order`` for each key.
 
     The remaining columns follow in the order, so ties do not depend on how the rows are spread.
     The rank filter is planned as a group limit before the shuffle: each task sends at most one copy
@@ -104,7 +121,7 @@ def latest_copy(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     rest = [c for c in rows.columns if c not in keys and c not in order]
     latest = ", ".join(f"`{c}` DESC NULLS LAST" for c in [*order, *rest])
     window = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {latest})"
-    return rows.withColumn("copy_rank", F.expr(window)).filter("copy_rank = 1").drop("copy_rank", INGESTED_AT)
+    return rows.withColumn("copy_rank", F.expr(window)).filter("copy_rank = 1").drop("copy_rank")
 
 
 def _date(name: str) -> Column:
