@@ -47,8 +47,8 @@ from (select {MONTH.format("date_key")}, campaign_key, channel_key,
 full outer join (select {MONTH.format("date_key")}, campaign_key, channel_key, sum(ad_spend) as total_ad_spend
                  from fact_marketing group by 1, 2, 3) m
   on s.report_month = m.report_month and s.campaign_key = m.campaign_key and s.channel_key = m.channel_key""",
-    "recent_sales": """
-select * replace (timestamp '2024-06-15 06:00:00' as _ingested_at) from raw_sales where order_date >= date '2024-01-01'""",
+    "sold_lines": f"select *, {MONTH.format('date_key')} from fact_sales",
+    "stamped_sales": "select * replace (timestamp '2024-06-15 06:00:00' as _ingested_at) from raw_sales",
     "sales_and_rerun": """
 select * from raw_sales
 union all
@@ -163,7 +163,7 @@ select order_date, count(*) * case when order_date >= last - 3 then 2 else 1 end
        strftime(last, '%Y-%m-%d') as watermark, 2 as log_rows
 from raw_sales, (select max(order_date) as last from raw_sales) where order_date >= date '2022-12-29'
 group by order_date, last""",
-    "ingest_run_renamed": staged_sales("recent_sales"),
+    "ingest_run_renamed": staged_sales("stamped_sales"),
     "audit_loaded_at": "\nunion all\n".join(
         f"select '2024-06-15 06:00:00' as loaded_at, count(*) as row_count, '{name}' as table_name from {name}"
         for name in ("dim_campaigns", "dim_customers", "fact_sales", "fact_marketing", "agg_channel_funnel_daily")
@@ -224,6 +224,37 @@ CONDITIONS = [
     ("fact_marketing", "ad_spend >= 0"),
     ("agg_customer_cohort", "retention_rate between 0 and 100"),
 ]
+def months_of(table: str, date: str, money: str, count: str) -> str:
+    return (
+        f"select '{table}' as table_name, {MONTH.format(date)}, count(*) as row_count, "
+        f"{total(money, 'amount')}, {whole(count, 'counted')} from {table} group by 2"
+    )
+
+
+SELECTS["refresh_months"] = "\nunion all\n".join(
+    months_of(*row)
+    for row in (
+        ("fact_sales", "date_key", "net_sales", "quantity"),
+        ("fact_marketing", "date_key", "ad_spend", "clicks"),
+        ("agg_growth_daily", "report_date", "total_revenue", "new_customers"),
+        ("agg_campaign_performance", "report_month", "total_ad_spend", "new_customers"),
+        ("agg_channel_performance", "report_month", "total_revenue", "total_customers"),
+        ("agg_channel_funnel_daily", "date_key", "total_ad_spend", "total_clicks"),
+        ("agg_customer_segment", "report_month", "total_revenue", "customers_with_multiple_orders_in_month"),
+        ("agg_sales_daily", "report_date", "total_revenue", "total_units"),
+        ("agg_customer_cohort", "cohort_month", "cohort_size", "active_customers"),
+        ("dim_customers", "first_purchase_date", "lifetime_revenue", "lifetime_orders"),
+    )
+)
+SELECTS["ingest_upsert"] = "select * from stg_sales"
+SELECTS["cohort_activity"] = "select * from agg_customer_cohort"
+SELECTS["rollup_distinct"] = """
+select 'month' as level, report_month, null as channel_key, null as campaign_key,
+       count(distinct customer_key) as total_customers, count(distinct order_id) as total_orders from sold_lines group by 2
+union all select 'channel', null, channel_key, null, count(distinct customer_key), count(distinct order_id) from sold_lines group by 3
+union all select 'month_campaign', report_month, null, campaign_key, count(distinct customer_key), count(distinct order_id)
+          from sold_lines group by 2, 4
+union all select 'all', null, null, null, count(distinct customer_key), count(distinct order_id) from sold_lines"""
 RULES: dict[str, list[tuple[str, str, str]]] = {
     "not_null": [(t, c, f"select count(*) - count({c}) from {t}") for t, c in NOT_NULL],
     "unique": [

@@ -12,6 +12,8 @@ Activity. A row per customer holds the months with sales as bits, 62 to a word.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,20 +36,18 @@ def first_seen(facts: DataFrame, column: str) -> DataFrame:
 
 
 def numbered(written: DataFrame, start: int = 0) -> DataFrame:
-    """(value, id) with dense ids from ``start``: ``written`` is ``first_seen`` as read back.
+    """``written`` with dense ids from ``start`` in place of ``at``, its monotonically increasing id, as read back.
 
     ``at`` holds the partition in its upper bits and the place in it below; only the partitions' sizes meet.
     """
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = written.groupBy(part.alias("part")).agg((F.max(place) + 1).alias("size"))
-    lists = F.sort_array(F.collect_list(F.struct("part", "size")))
-    # one row per partition of the dictionary
-    before = sizes.groupBy().agg(lists.alias("all")).select(F.explode("all").alias("p"), "all").select(
-        "p.part", F.aggregate(F.filter("all", lambda o: o["part"] < F.col("p.part")), F.lit(0).cast("long"), lambda n, o: n + o["size"]).alias("offset")
-    )
-    return written.select("value", part.alias("part"), place.alias("place")).join(before, "part").select(
-        "value", (F.col("offset") + F.col("place") + start).alias("id")
-    )
+    sizes = written.groupBy(part.alias("_part")).agg((F.max(place) + 1).alias("size"))
+    # one entry per partition
+    ends = sizes.agg(F.sort_array(F.collect_list(F.struct("_part", "size"))).alias("ends")).select(F.explode("ends").alias("p"), "ends")
+    earlier = F.filter("ends", lambda e: e["_part"] < F.col("p._part"))
+    offsets = ends.select("p._part", F.aggregate(earlier, F.lit(0).cast("long"), lambda n, e: n + e["size"]).alias("_offset"))
+    placed = written.withColumns({"_part": part, "_place": place}).join(offsets, "_part")
+    return placed.withColumn("id", F.col("_offset") + F.col("_place") + start).drop("at", "_part", "_place", "_offset")
 
 
 def new_values(facts: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:
@@ -64,31 +64,25 @@ def distinct_state(facts: DataFrame, column: str, dictionary: DataFrame) -> Data
     # each value once per group before it meets the dictionary
     pairs = facts.filter(F.col(column).isNotNull()).select(*KEYS, F.col(column).alias("value")).distinct()
     return (
-        pairs.join(dictionary, "value")
+        pairs.join(dictionary.select("value", "id"), "value")
         .groupBy(*KEYS, F.bitmap_bucket_number("id").alias("block"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
     )
 
 
-def rolled_up(state: DataFrame, sets: dict[str, list[Column]], name: str) -> DataFrame:
-    """Distinct counts of several roll-ups at once: ``sets`` names each and says by what it groups.
+def rolled_up(state: DataFrame, sets: dict[str, list[str]], name: str) -> DataFrame:
+    """Distinct counts of several roll-ups at once: ``sets`` names each and says by which columns it groups.
 
     Result: level, the group columns (NULL where a level has none), and the count under ``name``.
     """
-    names = list(dict.fromkeys(c for columns in sets.values() for c in map(_name, columns)))
-    columns = {_name(c): c for group in sets.values() for c in group}
-    rows = state.select(*[c.alias(n) for n, c in columns.items()], "block", "bits")
-    union = rows.groupingSets([[*map(_name, group), "block"] for group in sets.values()], *names, "block").agg(
-        F.bitmap_or_agg("bits").alias("bits"), F.grouping_id().alias("_set")
+    columns = list(dict.fromkeys(c for group in sets.values() for c in group))
+    united = state.groupingSets([[*group, "block"] for group in sets.values()], *columns, "block").agg(
+        F.bitmap_or_agg("bits").alias("bits"), *[F.grouping(c).alias(f"no_{c}") for c in columns]
     )
-    # grouping_id has one bit per column, set where the column is rolled up
-    codes = {level: sum(1 << (len(names) - i) for i, n in enumerate(names) if n not in map(_name, group)) for level, group in sets.items()}
-    level = F.coalesce(*[F.when(F.col("_set") == code, level) for level, code in codes.items()]).alias("level")
-    return union.groupBy(level, *names).agg(F.sum(F.bitmap_count("bits")).alias(name))
-
-
-def _name(column: Column) -> str:
-    return column._jc.toString().rpartition(" AS ")[2] if hasattr(column, "_jc") else str(column)
+    levels = [
+        F.when(reduce(and_, [F.col(f"no_{c}") == int(c not in group) for c in columns]), level) for level, group in sets.items()
+    ]
+    return united.groupBy(F.coalesce(*levels).alias("level"), *columns).agg(F.sum(F.bitmap_count("bits")).alias(name))
 
 
 # --- activity
@@ -99,30 +93,27 @@ def month_index(day: str | Column, start: dt.date) -> Column:
     return (F.year(day) - start.year) * 12 + F.month(day) - start.month
 
 
+def words_of_calendar(params: MartParams) -> int:
+    start, end = params.calendar_start, params.calendar_end
+    return ((end.year - start.year) * 12 + end.month - start.month) // WORD_BITS + 1
+
+
 def activity_state(facts: DataFrame, params: MartParams) -> DataFrame:
     """(customer_key, words): the calendar months in which a customer bought, as bits. One shuffle, by customer."""
-    months = (params.calendar_end.year - params.calendar_start.year) * 12 + params.calendar_end.month - params.calendar_start.month + 1
     index = month_index("date_key", params.calendar_start)
-    words = [
-        F.coalesce(F.bit_or(F.when((index >= w * WORD_BITS) & (index < (w + 1) * WORD_BITS), F.call_function("shiftleft", F.lit(1).cast("long"), index - w * WORD_BITS))), F.lit(0).cast("long"))
-        for w in range(-(-months // WORD_BITS))
-    ]
-    return facts.groupBy("customer_key").agg(F.array(*words).alias("words"))
-
-
-def merged_activity(*states: DataFrame) -> DataFrame:
-    """The union of states over any sets of months."""
-    rows = states[0]
-    for state in states[1:]:
-        rows = rows.unionByName(state)
-    size = rows.schema["words"]  # every state of a mart has the same number of words
-    del size
-    merged = F.aggregate(
-        F.slice("all", 2, F.size("all")),
-        F.col("all")[0],
-        lambda a, b: F.zip_with(a, b, lambda x, y: x.bitwiseOR(y)),
-    )
-    return rows.groupBy("customer_key").agg(F.collect_list("words").alias("all")).select("customer_key", merged.alias("words"))
+
+    def word(number: int) -> Column:
+        place = index - number * WORD_BITS
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+        return F.coalesce(F.bit_or(F.when(place.between(0, WORD_BITS - 1), bit)), F.lit(0).cast("long"))
+
+    return facts.groupBy("customer_key").agg(F.array(*map(word, range(words_of_calendar(params)))).alias("words"))
+
+
+def merged_activity(one: DataFrame, other: DataFrame, params: MartParams) -> DataFrame:
+    """The union of two states, over any sets of months."""
+    words = [F.bit_or(F.get("words", F.lit(i))) for i in range(words_of_calendar(params))]
+    return one.unionByName(other).groupBy("customer_key").agg(F.array(*words).alias("words"))
 
 
 def latest_month(state: DataFrame, params: MartParams) -> Column:

@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions import month_of, timestamp_literal
-from starmart.operators import checks, measures, staging
+from starmart.operators import checks, measures, staging, states
 from starmart.operators.measures import measure
 from starmart.params import MartParams
+from starmart.plans.incremental import IncrementalMart
 from starmart.plans.ingest import ingest
 from starmart.plans.mart import AGGREGATES, DIMENSIONS, FACTS, STAGING, Mart
 from starmart.session import shared_folder
-from starmart.sources import normalize, readers, sinks, watermark
+from starmart.sources import normalize, readers, sinks, upsert, watermark
 from starmart.sources.registry import DATASETS
 from starmart.sources.supplied import SuppliedTables
+from starmart.sources.versions import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,7 +260,7 @@ def ingest_run_incremental(m: Mart) -> DataFrame:
 def ingest_run_renamed(m: Mart) -> DataFrame:
     """Staged sales of two batches, the second with its date as text under another name."""
     root, dataset = _fresh_folder(m)[0], DATASETS["sales"]
-    rows = m.raw["raw_sales"].drop("_ingested_at").filter("order_date >= date'2024-01-01'")
+    rows = m.raw["raw_sales"].drop("_ingested_at")
     odd = F.crc32("order_id") % 2 == 1
     renamed = rows.filter(odd).withColumn("Order Date", F.date_format("order_date", "M/d/yyyy")).drop("order_date")
     for batch in (rows.filter(~odd), renamed):
@@ -281,10 +283,10 @@ def audit_loaded_at(m: Mart) -> DataFrame:
 
 
 def cohort_order(m: Mart) -> DataFrame:
-    """The cohort table's own order as positions; it has at most twelve rows per month and region."""
+    """The cohort table's own order as positions, numbered within each sorted part and by the parts before it."""
     keys = ("cohort_month", "region", "months_since_acquisition")
-    ordered = m["agg_customer_cohort"].select(*keys).coalesce(1)
-    return ordered.withColumn("position", F.monotonically_increasing_id())
+    ordered = m["agg_customer_cohort"].select(*keys, F.monotonically_increasing_id().alias("at"))
+    return states.numbered(_written(ordered, f"{_fresh_folder(m)[0]}/ordered")).withColumnRenamed("id", "position")
 
 
 def watermark_lookup(m: Mart) -> DataFrame:
@@ -301,6 +303,87 @@ def watermark_lookup(m: Mart) -> DataFrame:
     return current.withColumn("last_loaded_date", F.date_format("last_loaded_date", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _written(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def ingest_upsert(m: Mart) -> DataFrame:
+    """Staged sales after three batches that overlap, the older copies of some lines coming last."""
+    store, rows = Store(m.spark, _fresh_folder(m)[0]), m.raw["raw_sales"]
+    third = F.pmod(F.crc32("order_id"), F.lit(3))
+    older = rows.filter(third == 0).withColumns({"_ingested_at": F.lit("1980-01-01").cast("timestamp_ntz"), "price": F.col("price") + 1})
+    for batch in (rows.filter(third < 2), rows.filter(third > 0), older):
+        change = store.begin()
+        upsert.upsert(change, upsert.SALES, batch, buckets=16)
+        change.commit()
+    return upsert.staged(store.begin(), upsert.SALES, upsert.SALES.typed(rows).schema)
+
+
+LATE = "order_date BETWEEN '2021-05-03' AND '2021-06-20' AND crc32(order_id) % 10 = 0"
+
+
+def refresh_months(m: Mart) -> DataFrame:
+    """Rows, revenue and customers or orders per aggregate and month after a build and a refresh with late lines and ads.
+
+    The build lacks some orders of two months and one day of ads, and has wrong copies of other orders, at another
+    date and of another customer; the refresh brings what is missing and the right copies.
+    """
+    sales, ads = m.raw["raw_sales"], m.raw["raw_marketing"]
+    wrong = sales.filter(f"{LATE} AND crc32(order_id) % 20 = 0").withColumns(
+        {"order_date": F.lit("2020-02-29").cast("date"), "customer_id": F.lit("C7"), "_ingested_at": F.lit("1980-01-01").cast("timestamp_ntz")}
+    )
+    late_ads = "date = '2024-01-15'"
+    mart = IncrementalMart(m.spark, m.raw, f"{_fresh_folder(m)[0]}/mart", m.params, buckets=16)
+    mart.refresh(sales.filter(f"NOT ({LATE})").unionByName(wrong), ads.filter(f"NOT ({late_ads})"))
+    mart.refresh(sales.filter(LATE), ads.filter(late_ads))
+
+    def per_month(name: str, date: str, money: str, count: str) -> DataFrame:
+        return (
+            mart.table(name)
+            .groupBy(F.lit(name).alias("table_name"), month_of(date).alias(MONTH))
+            .agg(F.count("*").alias("row_count"), F.sum(money).cast("decimal(38,9)").alias("amount"), F.sum(count).alias("counted"))
+        )
+
+    parts = [
+        per_month("fact_sales", "date_key", "net_sales", "quantity"),
+        per_month("fact_marketing", "date_key", "ad_spend", "clicks"),
+        per_month("agg_growth_daily", "report_date", "total_revenue", "new_customers"),
+        per_month("agg_campaign_performance", MONTH, "total_ad_spend", "new_customers"),
+        per_month("agg_channel_performance", MONTH, "total_revenue", "total_customers"),
+        per_month("agg_channel_funnel_daily", "date_key", "total_ad_spend", "total_clicks"),
+        per_month("agg_customer_segment", MONTH, "total_revenue", "customers_with_multiple_orders_in_month"),
+        per_month("agg_sales_daily", "report_date", "total_revenue", "total_units"),
+        per_month("agg_customer_cohort", "cohort_month", "cohort_size", "active_customers"),
+        per_month("dim_customers", "first_purchase_date", "lifetime_revenue", "lifetime_orders"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rollup_distinct(m: Mart) -> DataFrame:
+    """Distinct customers and orders per month, channel, campaign and month, and in all, from bitmaps beside the facts."""
+    root, fact = _fresh_folder(m)[0], m["fact_sales"]
+    levels = {"month": [MONTH], "channel": ["channel_key"], "month_campaign": [MONTH, "campaign_key"], "all": []}
+    counted = []
+    for column, name in (("customer_key", "total_customers"), ("order_id", "total_orders")):
+        seen = _written(states.first_seen(fact, column), f"{root}/{column}")
+        state = _written(states.distinct_state(fact, column, states.numbered(seen)), f"{root}/{column}-state")
+        counted.append(states.rolled_up(state.withColumn(MONTH, month_of("date_key")), levels, name))
+    keys = ["level", MONTH, "channel_key", "campaign_key"]
+    customers, orders = counted
+    same = [customers[k].eqNullSafe(orders[k]) for k in keys]
+    return customers.join(orders, same).select(*[customers[k] for k in keys], "total_customers", "total_orders")
+
+
+def cohort_activity(m: Mart) -> DataFrame:
+    """The cohort table from activity bits: those up to 2021, written, united with those of the months since."""
+    root, fact = _fresh_folder(m)[0], m["fact_sales"]
+    old = _written(states.activity_state(fact.filter("date_key < '2021-01-01'"), m.params), f"{root}/old")
+    new = _written(states.activity_state(fact.filter("date_key >= '2021-01-01'"), m.params), f"{root}/new")
+    state = _written(states.merged_activity(old, new, m.params), f"{root}/state")
+    return states.cohorts_of_activity(state, m.lookup("dim_customers"), m.params).drop("loaded_at")
+
+
 QUERIES: dict[str, Query] = {
     # A bare calendar reads no data, so the date dimension is queried with what falls on its days.
     **{name: _table(name) for name in STAGING + DIMENSIONS + FACTS + AGGREGATES if name != "dim_date"},
@@ -347,6 +430,10 @@ QUERIES: dict[str, Query] = {
             audit_loaded_at,
             cohort_order,
             watermark_lookup,
+            ingest_upsert,
+            refresh_months,
+            rollup_distinct,
+            cohort_activity,
         )
     },
 }
