@@ -5,21 +5,23 @@ a node picks two places of the minwise sketch, and each class goes to the two ch
 classes of similarity s share a child per place with probability s, so similar ones meet in some node with the recall
 that the trees' number sets, and others part.
 
-Nodes of the first level compare every member with two pivots; confirmed links make first components. After that a node matters only where it holds several components: if few members stand
-outside its largest component, these meet all members, block by block; otherwise the node branches on. So copies are
-never expanded into all pairs, and no node is ever held by one task. A member's candidates in a component are confirmed
-in rounds, most alike first, until one links or none is left.
+A small node is compared exhaustively, in two steps within one task: sketches of a byte per place tell which members have a
+candidate in another component, and only these meet again with their full sets. The task joins what it confirms and
+returns a spanning forest, so a node never gives more links than it has members, whatever its pairs are. A large node is
+compared in blocks that share two pivots. If after that no more than a block of members stand outside its largest component,
+these meet all members, block by block; if more do, the node branches on. The first tree goes alone: what it has joined
+need not be compared again in the others.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +31,8 @@ from starmart.llm.common import cut, free_name, map_lists, scratch, text_of, wit
 @dataclass(frozen=True)
 class JoinParams:
     """``candidate`` is the similarity of sketches from which full sets are compared, 4 deviations below the bound.
-    ``outside`` bounds the members outside a node's largest component that are compared at once; from ``depth`` on
-    more of them are compared in several parts. ``best`` candidates of a member in a component are confirmed first; a
-    round that leaves the two apart is followed by one that reaches ``wider`` times as far. ``broadcast_ids`` bounds a
-    broadcast; beyond it ids are shuffled."""
+    ``block`` members or ``weight`` shingles make a node large; a task holds about twice as many. From ``depth`` on a large node
+    is compared to its end instead of branching on. ``broadcast_ids`` bounds a broadcast; beyond it ids are shuffled."""
 
     words: int = 5
     percent: int = 75
@@ -40,11 +40,9 @@ class JoinParams:
     trees: int = 5
     branches: int = 2
     candidate: float = 0.58
-    outside: int = 2048
     block: int = 2048
+    weight: int = 2_000_000
     depth: int = 10
-    best: int = 3
-    wider: int = 8
     broadcast_ids: int = 500_000
     seed: int = 5
 
@@ -94,106 +92,146 @@ def sketched(docs: DataFrame, params: JoinParams) -> DataFrame:
         rows = []
         for doc_id, text in zip(ids, texts):
             h = shingles(text, params.words)
-            rows.append((doc_id, len(h), class_of(h), sketch_of(h, params)) if len(h) else (doc_id, 0, None, None))
+            sketch = sketch_of(h, params)
+            # the low byte of each place screens, branching uses all four
+            low = (sketch & 255).astype(np.uint8).tobytes()
+            rows.append((doc_id, len(h), class_of(h), sketch, low) if len(h) else (doc_id, 0, None, None, None))
         return rows
 
-    schema = "doc_id long, n_shingles long, class long, sketch array<int>"
+    schema = "doc_id long, n_shingles long, class long, sketch array<int>, bytes binary"
     return map_lists(docs.select("doc_id", text_of().alias("text")), run, schema)
 
 
-def similarity(a: str, b: str) -> Column:
-    """Share of equal places of two sketches."""
-    equal = F.zip_with(a, b, lambda x, y: (x == y).cast("int"))
-    return F.aggregate(equal, F.lit(0), lambda acc, x: acc + x) / F.size(F.col(a))
-
-
 def children(rows: DataFrame, params: JoinParams) -> DataFrame:
-    """(path, class) from (path, class, sketch): the tokens at two places that the node's path picks."""
+    """(path, class, n_shingles) from these and the sketch: the tokens at two places that the node's path picks."""
     place = lambda i: F.pmod(F.xxhash64("path", F.lit(i)), F.lit(params.sketch)).cast("int")
     paths = [F.xxhash64("path", place(i), F.get("sketch", place(i))) for i in range(params.branches)]
-    return rows.select(F.explode(F.array_distinct(F.array(*paths))).alias("path"), "class")
+    return rows.select(F.explode(F.array_distinct(F.array(*paths))).alias("path"), "class", "n_shingles")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, params: JoinParams, folder: str) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough.
+def components(links: DataFrame) -> DataFrame:
+    """(class, comp) of every class in ``links`` (a, b): the least class reachable.
 
-    Only texts of classes in a pair are read again: one document stands for a class.
+    Large stars and small stars in turn: every class hands its larger neighbours, then its smaller ones, to the least it
+    knows. The rounds grow with the logarithm of a chain's length.
     """
-    spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes.select("class", "doc_id"), "class")
-    ids = cut(ids)
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
+    mark = None
+    while True:
+        # v is the smaller end: larger neighbours of a class move to the least of it and its neighbours
+        both = edges.union(edges.select("v", "u"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = cut(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u")
+        moved = small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if now == mark:
+            break
+        mark = now
+    # all stars: every class names the least of its component
+    return edges.select(F.col("u").alias("class"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("class"), F.col("v").alias("comp")).distinct())
+
+
+def _likeness(bytes_of: np.ndarray, x: int) -> np.ndarray:
+    return np.count_nonzero(bytes_of == bytes_of[x], axis=1) / bytes_of.shape[1]
+
+
+def screened(bytes_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, params: JoinParams) -> np.ndarray:
+    """Which members of a unit have a candidate in another component; one of the two must ask."""
+    active = np.zeros(len(comp), bool)
+    if (comp == comp[0]).all():
+        return active
+    for x in np.flatnonzero(ask):
+        near = (comp != comp[x]) & (_likeness(bytes_of, x) >= params.candidate)
+        if near.any():
+            active |= near
+            active[x] = True
+    return active
+
+
+def forest(ids: np.ndarray, bytes_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, sets: list[np.ndarray], params: JoinParams) -> list[tuple[int, int]]:
+    """Links of a unit that join its components, each confirmed on full sets: a member's candidates in other components
+    are tried, most alike first, until every one has been joined or refused."""
+    comp, links = comp.copy(), []
+    sizes = np.array([len(s) for s in sets])
+    for x in np.flatnonzero(ask):
+        like = _likeness(bytes_of, x)
+        fits = 100 * np.minimum(sizes, sizes[x]) >= params.percent * np.maximum(sizes, sizes[x])
+        near = np.flatnonzero((comp != comp[x]) & (like >= params.candidate) & fits)
+        for y in near[np.argsort(-like[near], kind="stable")]:
+            if comp[y] == comp[x]:
+                continue
+            few, many = (sets[x], sets[y]) if sizes[x] <= sizes[y] else (sets[y], sets[x])
+            at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+            shared = int(np.count_nonzero(many[at] == few))
+            if 100 * shared >= params.percent * (sizes[x] + sizes[y] - shared):
+                links.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
+                comp[comp == comp[y]] = comp[x]
+    return links
+
+
+def _units(table: pa.Table):
+    """Row numbers and ids of each unit of a task; a row that stands in a unit twice counts once, as one that asks."""
+    unit, ids, ask = (table.column(c).to_numpy() for c in ("unit", "class", "ask"))
+    order = np.lexsort((~ask, ids, unit))
+    again = np.r_[False, (unit[order][1:] == unit[order][:-1]) & (ids[order][1:] == ids[order][:-1])]
+    order = order[~again]
+    starts = np.flatnonzero(np.r_[True, unit[order][1:] != unit[order][:-1]]) if len(order) else []
+    for part in np.split(order, starts[1:]) if len(order) else []:
+        if len(part) > 1:
+            yield part, ids[part], ask[part]
+
+
+def _sketches(table: pa.Table, params: JoinParams) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, params.sketch)
+
+
+def linked(units: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, params: JoinParams) -> DataFrame:
+    """Links (a, b) between components within units: (part, unit, class, ask). A task gets the units of one part."""
+
+    def screen(table: pa.Table) -> pa.Table:
+        bytes_of, comp = _sketches(table, params), table.column("comp").to_numpy()
+        keep, asks = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for rows, _, ask in _units(table):
+            active = screened(bytes_of[rows], comp[rows], ask, params)
+            keep.append(rows[active])
+            asks.append(ask[active])
+        out = table.take(np.concatenate(keep)).drop_columns(["ask"])
+        return out.append_column("ask", pa.array(np.concatenate(asks), pa.bool_()))
+
+    named = units.join(classes.select("class", "bytes"), "class").join(comps, "class", "left")
+    named = named.select("part", "unit", "class", F.coalesce("comp", "class").alias("comp"), "bytes", "ask")
+    active = cut(named.groupBy("part").applyInArrow(screen, "part long, unit long, class long, comp long, bytes binary, ask boolean"))
+
+    ids = cut(active.select("class").distinct().join(classes.select("class", "doc_id", "n_shingles"), "class"))
+    many, weight = ids.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
-    if ids.count() <= params.broadcast_ids:
-        wanted = F.broadcast(wanted)
+    wanted = F.broadcast(wanted) if many <= params.broadcast_ids else wanted
     texts = docs.select("doc_id", text_of().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
-    def run(frames):
+    def shingled(frames):
         for frame in frames:
             sets = [shingles(text, params.words) for text in frame["text"]]
-            yield pd.DataFrame({"class": [class_of(h) for h in sets], "set": [h.view(np.int64) for h in sets]})
-
-    sets = texts.select("text").mapInPandas(run, "class long, set array<long>").join(ids.select("class"), "class", "left_semi")
-    sets.groupBy("class").agg(F.first("set").alias("set")).write.parquet(f"{folder}/sets")
-    sets = spark.read.parquet(f"{folder}/sets")
-    with_b = pairs.join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b")), "b")
-    both = with_b.join(sets.select(F.col("class").alias("a"), F.col("set").alias("set_a")), "a")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    either = F.size("set_a") + F.size("set_b") - F.col("shared")
-    links = both.withColumn("shared", shared).filter(100 * F.col("shared") >= params.percent * either)
-    return cut(links.select("a", "b"))
-
-
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(class, comp): the least class reachable. Labels fall to the least neighbour's, then to their label's label."""
-    edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    linked = cut(edges.groupBy(F.col("a").alias("class")).agg(F.min("b").alias("m")).select("class", F.least("class", "m").alias("comp")))
-    while True:
-        near = edges.join(linked.select(F.col("class").alias("b"), "comp"), "b").groupBy(F.col("a").alias("class")).agg(F.min("comp").alias("m"))
-        lower = cut(linked.join(near, "class").select("class", "comp", F.least("comp", "m").alias("to")))
-        over = lower.select(F.col("class").alias("to"), F.col("to").alias("root"))
-        jumped = cut(lower.join(over, "to", "left").select("class", F.coalesce("root", "to").alias("to"), "comp"))
-        moved = jumped.filter("to <> comp").limit(1).count()
-        linked = jumped.select("class", F.col("to").alias("comp"))
-        if not moved:
-            break
-    return nodes.select("class").join(linked, "class", "left").select("class", F.coalesce("comp", "class").alias("comp"))
+            yield pd.DataFrame({"class": [class_of(h) for h in sets], "set": [h.tobytes() for h in sets]})
 
+    sets = texts.select("text").mapInPandas(shingled, "class long, set binary").join(ids.select("class"), "class", "left_semi")
+    sets = sets.dropDuplicates(["class"])  # copies of one set come from rows that repeat an id
 
-def across(rows: DataFrame, params: JoinParams, low: int, high: int) -> DataFrame:
-    """Candidate pairs (a, b) between components within a node; rows: path, class, comp, now, sketch, part, outside.
+    def confirm(table: pa.Table) -> pa.Table:
+        bytes_of, comp = _sketches(table, params), table.column("comp").to_numpy()
+        sets, links = table.column("set"), []
+        for rows, ids, ask in _units(table):
+            own = [np.frombuffer(sets[int(r)].as_py(), np.uint64) for r in rows]
+            links += forest(ids, bytes_of[rows], comp[rows], ask, own, params)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    A task gets a few small nodes, or one block of a node's largest component with a part of those outside it. Of a
-    member's candidates in a component (``comp``, most alike first) those at places ``low`` to ``high`` are given, and
-    only if links found since have not joined the two (``now``). So if none are given, none are left further on.
-    """
-
-    def run(table):
-        import pyarrow as pa
-
-        frame = table.to_pandas()
-        found = [np.zeros((0, 2), np.int64)]
-        for _, node in frame.groupby("path", sort=True):
-            out, now = node["outside"].to_numpy(), node["now"].to_numpy()
-            if not out.any() or (now == now[0]).all():
-                continue
-            sketch = np.stack(node["sketch"].to_numpy())
-            comp, ids = node["comp"].to_numpy(), node["class"].to_numpy()
-            for x in np.flatnonzero(out):
-                apart = np.flatnonzero(now != now[x])
-                like = (sketch[apart] == sketch[x]).mean(1)
-                near, like = apart[like >= params.candidate], like[like >= params.candidate]
-                if not len(near):
-                    continue
-                order = np.lexsort((ids[near], -like, comp[near]))
-                near = near[order]
-                first = np.flatnonzero(np.r_[True, comp[near][1:] != comp[near][:-1]])
-                place = np.arange(len(near)) - np.repeat(first, np.diff(np.r_[first, len(near)]))
-                y = ids[near[(place >= low) & (place < high)]]
-                found.append(np.stack([np.minimum(y, ids[x]), np.maximum(y, ids[x])], 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-    return rows.groupBy("part").applyInArrow(run, "a long, b long").distinct()
+    # as many tasks as the sets need; a unit stays whole
+    tasks = max(1, int(2 * weight // params.weight))
+    whole = active.withColumn("part", F.when(F.col("part") < 0, F.xxhash64("unit")).otherwise(F.pmod(F.xxhash64("unit"), F.lit(tasks))))
+    return cut(whole.join(sets, "class").groupBy("part").applyInArrow(confirm, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
@@ -208,66 +246,37 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     folder = scratch(spark)
     sketched(docs, params).write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
-    # arrays do not aggregate in place, so the sketch is fetched by a row per class
-    per_class = rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch"))
+    # the sketch does not aggregate in place, so it is fetched by a row per class
+    per_class = rows.filter("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("bytes").alias("bytes")
+    )
     per_class.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    sketches = classes.select("class", "sketch")
-    trees = F.explode(F.array(*[F.lit(t).cast("long") for t in range(params.trees)]))
-    roots = classes.select("class", "sketch", trees.alias("path"))
-
-    def shared_nodes(nodes: DataFrame) -> DataFrame:
-        """Without the nodes of one member; each with two pivots, others in every node, so that a group of near copies
-        of which each resembles only some of the others has many."""
-        drawn = F.struct(F.xxhash64("class", "path").alias("h"), "class")
-        sizes = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min(drawn).alias("p"), F.max(drawn).alias("q"))
-        return nodes.join(sizes.filter("n > 1").select("path", F.col("p.class").alias("p"), F.col("q.class").alias("q")), "path")
-
-    level = cut(shared_nodes(children(roots, params)))
-    star = level.select("class", F.explode(F.array("p", "q")).alias("pivot")).filter("class <> pivot")
-    star = star.select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct()
-    star = star.join(sketches.select(F.col("class").alias("b"), F.col("sketch").alias("sb")), "b")
-    star = star.join(sketches.select(F.col("class").alias("a"), F.col("sketch").alias("sa")), "a")
-    star = cut(star.filter(similarity("sa", "sb") >= params.candidate).select("a", "b"))
-    links = confirmed(star, classes, docs, params, f"{folder}/first")
-    comps = cut(components(classes, links))
-
-    kept = []
-    level = level.select("path", "class")
-    for depth in range(1, params.depth + 1):
-        parts = level.join(comps, "class").groupBy("path", "comp").agg(F.count("*").alias("n"))
-        nodes = parts.groupBy("path").agg(
-            F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", F.col("comp").alias("largest"))).alias("l")
-        )
-        nodes = nodes.filter("kinds > 1").select("path", "n", (F.col("n") - F.col("l.n")).alias("f"), F.col("l.largest").alias("largest"))
-        if depth == 1:
-            nodes = nodes.filter("n > 3")  # of three members, two were pivots
-        mixed = cut(level.join(nodes, "path").join(comps, "class").join(sketches, "class"))
-        last = depth == params.depth
-        kept.append(mixed if last else mixed.filter(F.col("f") <= params.outside))
-        if last:
-            break
-        level = cut(children(mixed.filter(F.col("f") > params.outside).select("path", "class", "sketch"), params))
-        level = cut(shared_nodes(level).select("path", "class"))
-        if level.isEmpty():
-            break
-    members = reduce(DataFrame.union, kept)
-    low, high = 0, params.best
-    while True:
-        current = members.join(comps.select("class", F.col("comp").alias("now")), "class")
-        if low:
-            apart = current.groupBy("path").agg(F.min("now").alias("least"), F.max("now").alias("most")).filter("least < most")
-            current = current.join(apart.select("path"), "path", "left_semi")
-        more = cut(across(dealt(cut(current), params), params, low, high))
-        if more.isEmpty():
-            break
-        new = confirmed(more, classes, docs, params, f"{folder}/from{low}")
-        if not new.isEmpty():
-            links = cut(links.union(new))
-            comps = cut(components(classes, links))
-        low, high = high, high * params.wider
-    least = classes.join(comps, "class").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_class = comps.join(least, "comp").select("class", "component_id")
+    links = cut(spark.createDataFrame([], "a long, b long"))
+    comps = spark.createDataFrame([], "class long, comp long")
+    for trees in (range(1), range(1, params.trees)):
+        if not trees:
+            continue
+        paths = F.explode(F.array(*[F.lit(t).cast("long") for t in trees]))
+        level = children(classes.select("class", "n_shingles", "sketch", paths.alias("path")), params)
+        for depth in range(1, params.depth + 1):
+            level = cut(of_size(level, params))
+            if level.isEmpty():
+                break
+            links, comps = more_links(links, linked(grouped(level, params), comps, classes, docs, params), comps)
+            large = level.filter("few > 1")
+            if large.isEmpty():
+                break
+            split = cut(standing_outside(large, comps, params))
+            ends = F.lit(depth == params.depth) | (F.col("f") <= params.block)
+            last = split.filter(ends)
+            if not last.isEmpty():
+                links, comps = more_links(links, linked(dealt(last, params), comps, classes, docs, params), comps)
+            rest = split.filter(~ends).select("path", "class").join(classes.select("class", "n_shingles", "sketch"), "class")
+            level = children(rest, params)
+    of_component = classes.select("class", "doc_id").join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    least = of_component.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    of_class = of_component.join(least, "comp").select("class", "component_id")
     joined = rows.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
     return joined.select(
         "doc_id",
@@ -278,28 +287,65 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     )
 
 
-def dealt(mixed: DataFrame, params: JoinParams) -> DataFrame:
-    """A group number, ``part``, and whether a row stands outside the node's largest component.
-
-    Small nodes share groups, as many as the rows ask for. Of a large one, the largest component is split into blocks and those outside it into
-    parts; each part meets each block and each part, itself included.
-    """
-    groups = max(1, -(-mixed.count() // (2 * params.block)))
-    outside = F.col("comp") != F.col("largest")
-    rows = mixed.withColumn("outside", outside)
-    small = F.col("n") <= params.block
-    few = F.greatest(F.ceil(F.col("n") / params.block), F.lit(1))
-    some = F.greatest(F.ceil(F.col("f") / params.outside), F.lit(1))
-    block, chunk = F.pmod(F.xxhash64("class"), few), F.pmod(F.xxhash64("class", F.lit(1)), some)
+def more_links(links: DataFrame, new: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links, and the components they make."""
+    if new.isEmpty():
+        return links, comps
+    # a component's own links may go: its members name its least class
+    links = cut(comps.filter("class <> comp").select(F.col("class").alias("a"), F.col("comp").alias("b")).union(new))
+    return links, cut(components(links))
+
+
+def of_size(level: DataFrame, params: JoinParams) -> DataFrame:
+    """Nodes of two members or more: (path, class, p, q, few); ``p`` and ``q`` are two members drawn by hash, differently
+    in every node, and ``few`` the number of blocks, 1 for a small node."""
+    drawn = F.struct(F.xxhash64("class", "path").alias("h"), "class")
+    sizes = level.groupBy("path").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.min(drawn).alias("p"), F.max(drawn).alias("q"))
+    few = F.greatest(F.ceil(F.col("n") / params.block), F.ceil(F.col("w") / params.weight)).cast("long")
+    sizes = sizes.filter("n > 1").select("path", F.col("p.class").alias("p"), F.col("q.class").alias("q"), few.alias("few"))
+    return level.select("path", "class").join(sizes, "path")
+
+
+def grouped(level: DataFrame, params: JoinParams) -> DataFrame:
+    """Units of a level: a small node is one, a large one is cut into blocks, each with both pivots. Small units share
+    tasks, as many as the rows ask for."""
+    tasks = max(1, -(-level.count() // (2 * params.block)))
+    small = F.col("few") == 1
+    block = F.pmod(F.xxhash64("class", F.lit(2)), F.col("few"))
+    pivot = F.col("class").isin(F.col("p"), F.col("q"))
+    blocks = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("few") - 1)).otherwise(F.array(block))
+    unit = F.when(small, F.col("path")).otherwise(F.xxhash64("path", "block"))
+    placed = level.withColumn("block", F.explode(blocks)).select("class", unit.alias("unit"), small.alias("small"))
+    return placed.select(_part(F.col("small"), tasks).alias("part"), "unit", "class", F.lit(True).alias("ask"))
+
+
+def _part(small, tasks: int):
+    """Small units share ``tasks`` parts; a block is a part of its own, with a negative number."""
+    return F.when(small, F.pmod(F.xxhash64("unit"), F.lit(tasks))).otherwise(F.xxhash64("unit").bitwiseOR(F.lit(-(2**63))))
+
+
+def standing_outside(large: DataFrame, comps: DataFrame, params: JoinParams) -> DataFrame:
+    """Members of large nodes with several components: (path, class, few, f, outside); ``f`` members stand outside the
+    node's largest component."""
+    named = large.join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    parts = named.groupBy("path", "comp").agg(F.count("*").alias("n"))
+    nodes = parts.groupBy("path").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", F.col("comp").alias("largest"))).alias("l"))
+    nodes = nodes.filter("kinds > 1").select("path", (F.col("n") - F.col("l.n")).alias("f"), F.col("l.largest").alias("largest"))
+    return named.join(nodes, "path").select("path", "class", "few", "f", (F.col("comp") != F.col("largest")).alias("outside"))
+
+
+def dealt(split: DataFrame, params: JoinParams) -> DataFrame:
+    """Units in which those outside a large node's largest component meet all its members: those outside are cut into
+    chunks, and each chunk asks in every block and in every chunk."""
+    chunks = F.greatest(F.ceil(F.col("f") / params.block), F.lit(1))
+    block, chunk = F.pmod(F.xxhash64("class", F.lit(2)), F.col("few")), F.pmod(F.xxhash64("class", F.lit(1)), chunks)
     seq = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    # outside rows ask in their own part and answer in all parts; the others answer in their block for every part
-    as_asker = F.transform(seq(few + some), lambda b: F.struct(chunk.alias("q"), b.alias("b"), F.lit(True).alias("o")))
-    as_other = F.transform(seq(some), lambda q: F.struct(q.alias("q"), (few + chunk).alias("b"), F.lit(False).alias("o")))
-    as_native = F.transform(seq(some), lambda q: F.struct(q.alias("q"), block.alias("b"), F.lit(False).alias("o")))
-    meets = F.when(F.col("outside"), F.when(some > 1, F.concat(as_asker, F.filter(as_other, lambda s: s["q"] != chunk))).otherwise(F.slice(as_asker, 1, few.cast("int")))).otherwise(as_native)
-    spread = rows.filter(~small).withColumn("m", F.explode(meets)).select("path", "class", "comp", "now", "sketch", F.xxhash64("path", "m.q", "m.b").alias("part"), F.col("m.o").alias("outside"))
-    together = rows.filter(small).select("path", "class", "comp", "now", "sketch", F.pmod(F.xxhash64("path"), F.lit(groups)).alias("part"), "outside")
-    return together.union(spread)
+    asks = F.transform(seq(F.col("few") + chunks), lambda b: F.struct(chunk.alias("q"), b.alias("b"), F.lit(True).alias("ask")))
+    answers = F.transform(seq(chunks), lambda q: F.struct(q.alias("q"), (F.col("few") + chunk).alias("b"), F.lit(False).alias("ask")))
+    blocks = F.transform(seq(chunks), lambda q: F.struct(q.alias("q"), block.alias("b"), F.lit(False).alias("ask")))
+    meets = F.when(F.col("outside"), F.concat(asks, answers)).otherwise(blocks)
+    placed = split.withColumn("m", F.explode(meets)).select("class", F.xxhash64("path", "m.q", "m.b").alias("unit"), F.col("m.ask").alias("ask"))
+    return placed.select(_part(F.lit(False), 1).alias("part"), "unit", "class", "ask")
 
 
 def without_near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:

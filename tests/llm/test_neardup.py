@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from starmart.llm import neardup
@@ -61,7 +62,7 @@ def corpus():
 def test_components_equal_all_pairs(spark, documents):
     rows = corpus()
     want = sorted(expected(rows))
-    for params in (JoinParams(), JoinParams(outside=4, block=16)):
+    for params in (JoinParams(), JoinParams(block=16), JoinParams(block=4, depth=2, weight=500)):
         got = neardup.near_duplicates(documents(rows, extra=True), params).collect()
         assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
@@ -91,8 +92,6 @@ def test_one_row_of_each_group_stays(spark, documents):
 def test_similar_sets_meet(same):
     """Sketches agree in about the similarity's share of places."""
     rng = random.Random(1)
-    import numpy as np
-
     params = JoinParams(sketch=512)
     shared = np.array([rng.getrandbits(64) for _ in range(int(800 * same))], np.uint64)
     a, b = (np.concatenate([shared, np.array([rng.getrandbits(64) for _ in range(int(400 * (1 - same)))], np.uint64)]) for _ in range(2))
@@ -103,12 +102,36 @@ def test_similar_sets_meet(same):
 def test_long_components(spark):
     """A chain of links is one component, whatever the order of its ids."""
     rng = random.Random(3)
-    ids = list(range(200))
+    ids = list(range(5000))
     rng.shuffle(ids)
-    links = spark.createDataFrame(list(zip(ids, ids[1:])) + [(1000, 1001)], "a long, b long")
-    nodes = spark.createDataFrame([(i,) for i in [*ids, 1000, 1001, 5000]], "class long")
-    got = {r["class"]: r["comp"] for r in neardup.components(nodes, links).collect()}
-    assert {got[i] for i in ids} == {0} and got[1001] == 1000 and got[5000] == 5000
+    links = spark.createDataFrame(list(zip(ids, ids[1:])) + [(7000, 7001), (7001, 7000)], "a long, b long")
+    rows = neardup.components(links).collect()
+    got = {r["class"]: r["comp"] for r in rows}
+    assert len(rows) == len(got) == 5002
+    assert {got[i] for i in ids} == {0} and got[7001] == got[7000] == 7000
+
+
+def test_a_unit_gives_a_forest():
+    """However many pairs a unit has, it returns no more links than members, and loses no component."""
+    rng = np.random.default_rng(2)
+    params = JoinParams(words=1)
+    base = rng.integers(0, 1 << 63, 300, np.uint64)
+    sets = [np.unique(np.r_[rng.permutation(base)[:265], rng.integers(0, 1 << 63, 10, np.uint64)]) for _ in range(60)]
+    sets += [np.unique(np.r_[base[:200], rng.integers(0, 1 << 63, 100, np.uint64)]) for _ in range(20)]
+    low = np.stack([(neardup.sketch_of(h, params) & 255).astype(np.uint8) for h in sets])
+    ids, alone = np.arange(len(sets)), np.arange(len(sets))
+    everyone = np.ones(len(sets), bool)
+    links = neardup.forest(ids, low, alone, everyone, sets, params)
+    assert len(links) < len(sets)
+    root = list(range(len(sets)))
+    for a, b in links:
+        root = [root[a] if r == root[b] else r for r in root]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= 75 * (len(a) + len(b) - shared):
+                assert root[i] == root[j]
+    assert neardup.screened(low, np.zeros(len(sets), int), everyone, params).sum() == 0
 
 
 @pytest.mark.parametrize("seed", [9])
