@@ -5,10 +5,10 @@ a node picks two places of the minwise sketch, and each class goes to the two ch
 classes of similarity s share a child per place with probability s, so similar ones meet in some node with the recall
 that the trees' number sets, and others part.
 
-A small node is compared exhaustively, in two steps within one task: sketches of a byte per place tell which members have a
-candidate in another component, and only these meet again with their full sets. The task joins what it confirms and
-returns a spanning forest, so a node never gives more links than it has members, whatever its pairs are. A large node is
-compared in blocks that share two pivots. If after that no more than a block of members stand outside its largest component,
+A small node is compared exhaustively, in two steps: sketches of half a byte per place tell which members have a candidate
+in another component, and only these meet again with their full sets, once for all nodes that share candidates. The task
+joins what it confirms and returns a spanning forest, so there are never more links than members, whatever the pairs
+are. A large node is compared in blocks that share two pivots. If after that no more than a block of members stand outside its largest component,
 these meet all members, block by block; if more do, the node branches on. The first tree goes alone: what it has joined
 need not be compared again in the others.
 """
@@ -30,19 +30,22 @@ from starmart.llm.common import cut, free_name, map_lists, scratch, text_of, wit
 
 @dataclass(frozen=True)
 class JoinParams:
-    """``candidate`` is the similarity of sketches from which full sets are compared, 4 deviations below the bound.
+    """``candidate`` is the similarity of sketches from which full sets are compared, 4 deviations below the bound
+    (half a byte agrees by chance in one of 16 places, which ``_likeness`` takes off).
     ``block`` members or ``weight`` shingles make a node large; a task holds about twice as many. From ``depth`` on a large node
-    is compared to its end instead of branching on. ``broadcast_ids`` bounds a broadcast; beyond it ids are shuffled."""
+    is compared to its end instead of branching on. A task joins ``edges`` links before they are shuffled.
+    ``broadcast_ids`` bounds a broadcast; beyond it ids are shuffled."""
 
     words: int = 5
     percent: int = 75
     sketch: int = 96
     trees: int = 5
     branches: int = 2
-    candidate: float = 0.58
+    candidate: float = 0.565
     block: int = 2048
     weight: int = 2_000_000
     depth: int = 10
+    edges: int = 200_000
     broadcast_ids: int = 500_000
     seed: int = 5
 
@@ -80,6 +83,12 @@ def sketch_of(hashes: np.ndarray, params: JoinParams) -> np.ndarray:
     return (_mixed(out) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def halves(sketch: np.ndarray) -> bytes:
+    """The low half byte of every place, two places to a byte; the number of places is even."""
+    low = (sketch & 15).astype(np.uint8)
+    return (low[::2] * 16 + low[1::2]).tobytes()
+
+
 def class_of(hashes: np.ndarray) -> int:
     """One number for equal sets."""
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).view(np.int64)))
@@ -93,8 +102,8 @@ def sketched(docs: DataFrame, params: JoinParams) -> DataFrame:
         for doc_id, text in zip(ids, texts):
             h = shingles(text, params.words)
             sketch = sketch_of(h, params)
-            # the low byte of each place screens, branching uses all four
-            low = (sketch & 255).astype(np.uint8).tobytes()
+            # the low half byte of each place screens, branching uses all four bytes
+            low = halves(sketch)
             rows.append((doc_id, len(h), class_of(h), sketch, low) if len(h) else (doc_id, 0, None, None, None))
         return rows
 
@@ -109,23 +118,45 @@ def children(rows: DataFrame, params: JoinParams) -> DataFrame:
     return rows.select(F.explode(F.array_distinct(F.array(*paths))).alias("path"), "class", "n_shingles")
 
 
-def components(links: DataFrame) -> DataFrame:
+def contracted(edges: DataFrame, tasks: int) -> DataFrame:
+    """Stars (u, v) that join what the edges (u, v) of each task join; v is the least of its star."""
+
+    def run(batches):
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = root[up] if up in root else up
+                x = root[x]
+            return x
+
+        for batch in batches:
+            for u, v in zip(*[c.to_pylist() for c in batch.columns]):
+                u, v = find(u), find(v)
+                root[max(u, v)] = min(u, v)
+        pairs = [(x, r) for x in root if (r := find(x)) != x]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+    return edges.select("u", "v").coalesce(tasks).mapInArrow(run, "u long, v long")
+
+
+def components(links: DataFrame, per_task: int = JoinParams.edges) -> DataFrame:
     """(class, comp) of every class in ``links`` (a, b): the least class reachable.
 
-    Large stars and small stars in turn: every class hands its larger neighbours, then its smaller ones, to the least it
-    knows. The rounds grow with the logarithm of a chain's length.
+    Tasks first join what their own edges join. If more than one task is needed, large stars and small stars follow in turn:
+    every class hands its larger neighbours, then its smaller ones, to the least it knows. The rounds grow with the
+    logarithm of a chain's length.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
-    mark = None
-    while True:
+    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v"))
+    tasks = max(1, -(-edges.count() // per_task))
+    edges, mark = cut(contracted(edges, tasks)), None
+    while tasks > 1:
         # v is the smaller end: larger neighbours of a class move to the least of it and its neighbours
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = cut(large)
+        large = cut(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        moved = small.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == mark:
@@ -135,30 +166,35 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("class"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("class"), F.col("v").alias("comp")).distinct())
 
 
-def _likeness(bytes_of: np.ndarray, x: int) -> np.ndarray:
-    return np.count_nonzero(bytes_of == bytes_of[x], axis=1) / bytes_of.shape[1]
+def _likeness(halves_of: np.ndarray, x: int) -> np.ndarray:
+    """Estimated similarity of each member with member ``x``."""
+    return (np.count_nonzero(halves_of == halves_of[x], axis=1) / halves_of.shape[1] - 1 / 16) / (15 / 16)
 
 
-def screened(bytes_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, params: JoinParams) -> np.ndarray:
-    """Which members of a unit have a candidate in another component; one of the two must ask."""
+def screened(halves_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, params: JoinParams) -> np.ndarray:
+    """Per member of a unit, the place of the first member that candidates between components connect it with, or -1 if
+    it has none; one of two candidates must ask."""
+    first = np.arange(len(comp))
     active = np.zeros(len(comp), bool)
-    if (comp == comp[0]).all():
-        return active
-    for x in np.flatnonzero(ask):
-        near = (comp != comp[x]) & (_likeness(bytes_of, x) >= params.candidate)
-        if near.any():
-            active |= near
-            active[x] = True
-    return active
-
-
-def forest(ids: np.ndarray, bytes_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, sets: list[np.ndarray], params: JoinParams) -> list[tuple[int, int]]:
+    if (comp != comp[0]).any():
+        for x in np.flatnonzero(ask):
+            near = (comp != comp[x]) & (_likeness(halves_of, x) >= params.candidate)
+            if near.any():
+                near[x] = True
+                active |= near
+                met = np.unique(first[near])
+                if len(met) > 1:
+                    first[np.isin(first, met)] = met[0]
+    return np.where(active, first, -1)
+
+
+def forest(ids: np.ndarray, halves_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, sets: list[np.ndarray], params: JoinParams) -> list[tuple[int, int]]:
     """Links of a unit that join its components, each confirmed on full sets: a member's candidates in other components
     are tried, most alike first, until every one has been joined or refused."""
     comp, links = comp.copy(), []
     sizes = np.array([len(s) for s in sets])
     for x in np.flatnonzero(ask):
-        like = _likeness(bytes_of, x)
+        like = _likeness(halves_of, x)
         fits = 100 * np.minimum(sizes, sizes[x]) >= params.percent * np.maximum(sizes, sizes[x])
         near = np.flatnonzero((comp != comp[x]) & (like >= params.candidate) & fits)
         for y in near[np.argsort(-like[near], kind="stable")]:
@@ -186,30 +222,51 @@ def _units(table: pa.Table):
 
 
 def _sketches(table: pa.Table, params: JoinParams) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, params.sketch)
+    both = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8).reshape(-1, params.sketch // 2)
+    return np.stack([both >> 4, both & 15], 2).reshape(-1, params.sketch)
 
 
 def linked(units: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFrame, params: JoinParams) -> DataFrame:
     """Links (a, b) between components within units: (part, unit, class, ask). A task gets the units of one part."""
 
     def screen(table: pa.Table) -> pa.Table:
-        bytes_of, comp = _sketches(table, params), table.column("comp").to_numpy()
-        keep, asks = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-        for rows, _, ask in _units(table):
-            active = screened(bytes_of[rows], comp[rows], ask, params)
+        halves_of, comp = _sketches(table, params), table.column("comp").to_numpy()
+        keep, asks, near = [np.zeros(0, np.int64)], [np.zeros(0, bool)], [np.zeros(0, np.int64)]
+        for rows, ids, ask in _units(table):
+            first = screened(halves_of[rows], comp[rows], ask, params)
+            active = first >= 0
             keep.append(rows[active])
             asks.append(ask[active])
-        out = table.take(np.concatenate(keep)).drop_columns(["ask"])
-        return out.append_column("ask", pa.array(np.concatenate(asks), pa.bool_()))
+            near.append(ids[first[active]])
+        out = table.take(np.concatenate(keep)).drop_columns(["ask", "part"])
+        out = out.append_column("ask", pa.array(np.concatenate(asks), pa.bool_()))
+        return out.append_column("near", pa.array(np.concatenate(near), pa.int64()))
 
     named = units.join(classes.select("class", "bytes"), "class").join(comps, "class", "left")
     named = named.select("part", "unit", "class", F.coalesce("comp", "class").alias("comp"), "bytes", "ask")
-    active = cut(named.groupBy("part").applyInArrow(screen, "part long, unit long, class long, comp long, bytes binary, ask boolean"))
+    schema = "unit long, class long, comp long, bytes binary, ask boolean, near long"
+    active = cut(named.groupBy("part").applyInArrow(screen, schema))
+    if active.isEmpty():
+        return links_of(docs, [])
+
+    # classes that candidates connect meet once; if they are too many for a task, they meet in the units they came from
+    groups = components(active.select(F.col("class").alias("a"), F.col("near").alias("b")))
+    ids = active.select("class").distinct().join(classes.select("class", "doc_id", "n_shingles"), "class").join(groups, "class")
+    ids = cut(ids.withColumnRenamed("comp", "near"))
+    sizes = ids.groupBy("near").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    large = sizes.filter((F.col("n") > params.block) | (F.col("w") > params.weight)).select("near")
+    grouped = active.drop("near").join(ids.select("class", "near", "n_shingles"), "class")
+    once = grouped.join(large, "near", "left_anti").groupBy(F.col("near").alias("unit"), "class").agg(
+        F.first("comp").alias("comp"), F.first("bytes").alias("bytes"), F.lit(True).alias("ask"), F.first("n_shingles").alias("n_shingles")
+    )
+    often = grouped.join(large, "near", "left_semi").select(*once.columns)
+    meets = cut(once.union(often))
+    rows, weight = meets.agg(F.count("*"), F.sum("n_shingles")).first()
+    tasks = max(1, -(-rows // 1024), -(-4 * weight // params.weight))
+    meets = meets.drop("n_shingles").withColumn("part", F.pmod(F.xxhash64("unit"), F.lit(tasks)))
 
-    ids = cut(active.select("class").distinct().join(classes.select("class", "doc_id", "n_shingles"), "class"))
-    many, weight = ids.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
-    wanted = F.broadcast(wanted) if many <= params.broadcast_ids else wanted
+    wanted = F.broadcast(wanted) if ids.count() <= params.broadcast_ids else wanted
     texts = docs.select("doc_id", text_of().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
     def shingled(frames):
@@ -221,17 +278,21 @@ def linked(units: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFra
     sets = sets.dropDuplicates(["class"])  # copies of one set come from rows that repeat an id
 
     def confirm(table: pa.Table) -> pa.Table:
-        bytes_of, comp = _sketches(table, params), table.column("comp").to_numpy()
+        halves_of, comp = _sketches(table, params), table.column("comp").to_numpy()
         sets, links = table.column("set"), []
         for rows, ids, ask in _units(table):
             own = [np.frombuffer(sets[int(r)].as_py(), np.uint64) for r in rows]
-            links += forest(ids, bytes_of[rows], comp[rows], ask, own, params)
+            links += forest(ids, halves_of[rows], comp[rows], ask, own, params)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    # as many tasks as the sets need; a unit stays whole
-    tasks = max(1, int(2 * weight // params.weight))
-    whole = active.withColumn("part", F.when(F.col("part") < 0, F.xxhash64("unit")).otherwise(F.pmod(F.xxhash64("unit"), F.lit(tasks))))
-    return cut(whole.join(sets, "class").groupBy("part").applyInArrow(confirm, "a long, b long").distinct())
+    return cut(meets.join(sets, "class").groupBy("part").applyInArrow(confirm, LINK).distinct())
+
+
+LINK = "a long, b long"
+
+
+def links_of(docs: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
+    return docs.sparkSession.createDataFrame(pairs, LINK)
 
 
 def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataFrame:
@@ -252,11 +313,9 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     )
     per_class.write.parquet(f"{folder}/classes")
     classes = spark.read.parquet(f"{folder}/classes")
-    links = cut(spark.createDataFrame([], "a long, b long"))
+    links = links_of(docs, [])
     comps = spark.createDataFrame([], "class long, comp long")
-    for trees in (range(1), range(1, params.trees)):
-        if not trees:
-            continue
+    for trees in filter(len, (range(1), range(1, params.trees))):
         paths = F.explode(F.array(*[F.lit(t).cast("long") for t in trees]))
         level = children(classes.select("class", "n_shingles", "sketch", paths.alias("path")), params)
         for depth in range(1, params.depth + 1):
@@ -297,13 +356,13 @@ def more_links(links: DataFrame, new: DataFrame, comps: DataFrame) -> tuple[Data
 
 
 def of_size(level: DataFrame, params: JoinParams) -> DataFrame:
-    """Nodes of two members or more: (path, class, p, q, few); ``p`` and ``q`` are two members drawn by hash, differently
-    in every node, and ``few`` the number of blocks, 1 for a small node."""
+    """Nodes of two members or more: (path, class, few, pivot); ``few`` is the number of blocks, 1 for a small node, and
+    two members are pivots, drawn by hash, differently in every node."""
     drawn = F.struct(F.xxhash64("class", "path").alias("h"), "class")
     sizes = level.groupBy("path").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.min(drawn).alias("p"), F.max(drawn).alias("q"))
-    few = F.greatest(F.ceil(F.col("n") / params.block), F.ceil(F.col("w") / params.weight)).cast("long")
+    few = F.greatest(F.ceil(F.col("n") / params.block), F.ceil(F.col("w") / params.weight)).cast("int")
     sizes = sizes.filter("n > 1").select("path", F.col("p.class").alias("p"), F.col("q.class").alias("q"), few.alias("few"))
-    return level.select("path", "class").join(sizes, "path")
+    return level.select("path", "class").join(sizes, "path").select("path", "class", "few", F.col("class").isin(F.col("p"), F.col("q")).alias("pivot"))
 
 
 def grouped(level: DataFrame, params: JoinParams) -> DataFrame:
@@ -311,9 +370,8 @@ def grouped(level: DataFrame, params: JoinParams) -> DataFrame:
     tasks, as many as the rows ask for."""
     tasks = max(1, -(-level.count() // (2 * params.block)))
     small = F.col("few") == 1
-    block = F.pmod(F.xxhash64("class", F.lit(2)), F.col("few"))
-    pivot = F.col("class").isin(F.col("p"), F.col("q"))
-    blocks = F.when(pivot, F.sequence(F.lit(0).cast("long"), F.col("few") - 1)).otherwise(F.array(block))
+    block = F.pmod(F.xxhash64("class", F.lit(2)), F.col("few")).cast("int")
+    blocks = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("few") - 1)).otherwise(F.array(block))
     unit = F.when(small, F.col("path")).otherwise(F.xxhash64("path", "block"))
     placed = level.withColumn("block", F.explode(blocks)).select("class", unit.alias("unit"), small.alias("small"))
     return placed.select(_part(F.col("small"), tasks).alias("part"), "unit", "class", F.lit(True).alias("ask"))

@@ -105,10 +105,11 @@ def test_long_components(spark):
     ids = list(range(5000))
     rng.shuffle(ids)
     links = spark.createDataFrame(list(zip(ids, ids[1:])) + [(7000, 7001), (7001, 7000)], "a long, b long")
-    rows = neardup.components(links).collect()
-    got = {r["class"]: r["comp"] for r in rows}
-    assert len(rows) == len(got) == 5002
-    assert {got[i] for i in ids} == {0} and got[7001] == got[7000] == 7000
+    for per_task in (10_000, 2_000):  # in one task, and in rounds of stars
+        rows = neardup.components(links.repartition(4), per_task).collect()
+        got = {r["class"]: r["comp"] for r in rows}
+        assert len(rows) == len(got) == 5002
+        assert {got[i] for i in ids} == {0} and got[7001] == got[7000] == 7000
 
 
 def test_a_unit_gives_a_forest():
@@ -118,7 +119,7 @@ def test_a_unit_gives_a_forest():
     base = rng.integers(0, 1 << 63, 300, np.uint64)
     sets = [np.unique(np.r_[rng.permutation(base)[:265], rng.integers(0, 1 << 63, 10, np.uint64)]) for _ in range(60)]
     sets += [np.unique(np.r_[base[:200], rng.integers(0, 1 << 63, 100, np.uint64)]) for _ in range(20)]
-    low = np.stack([(neardup.sketch_of(h, params) & 255).astype(np.uint8) for h in sets])
+    low = np.stack([(neardup.sketch_of(h, params) & 15).astype(np.uint8) for h in sets])
     ids, alone = np.arange(len(sets)), np.arange(len(sets))
     everyone = np.ones(len(sets), bool)
     links = neardup.forest(ids, low, alone, everyone, sets, params)
@@ -131,7 +132,9 @@ def test_a_unit_gives_a_forest():
             shared = len(np.intersect1d(a, b))
             if 100 * shared >= 75 * (len(a) + len(b) - shared):
                 assert root[i] == root[j]
-    assert neardup.screened(low, np.zeros(len(sets), int), everyone, params).sum() == 0
+    assert (neardup.screened(low, np.zeros(len(sets), int), everyone, params) == -1).all()
+    near = neardup.screened(low, alone, everyone, params)
+    assert all(near[a] == near[b] >= 0 for a, b in links)
 
 
 @pytest.mark.parametrize("seed", [9])
