@@ -129,8 +129,11 @@ def fit(docs: DataFrame, labels: DataFrame, params: NeighbourParams = NeighbourP
     rows = (
         sample.withColumn("h", F.xxhash64("text"))
         .mapInPandas(made, "doc_id long, label int, h long, terms binary")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "h")
-        .limit(2 * params.per_class)
+        # one text of an id that stands in several rows
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("h", "label", "terms")).alias("r"))
+        .select("doc_id", "r.*")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .toPandas()
     )
     matrix = np.stack([np.frombuffer(x, np.float32) for x in rows["terms"]]) if len(rows) else np.zeros((0, 1))
@@ -142,7 +145,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, params: NeighbourParams
 
     Needs doc_id and text; other columns pass through, but for those of the three names, which are replaced. Null and
     empty texts have a vector as any other. Ties among the nearest go by the sample's order of hashed ids. No labels:
-    every score is 0. An empty table gives an empty result.
+    every score is the share of class 1 among the labels, 0. An empty table gives an empty result.
     """
     model = fit(docs, labels, params)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -153,10 +156,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, params: NeighbourParams
 def passing(docs: DataFrame, labels: DataFrame, params: NeighbourParams = NeighbourParams()) -> DataFrame:
     """The rows of ``docs`` that are predicted to be of good quality, all columns as they were.
 
-    Without labels to learn from nothing is known against any row: all stay.
+    Without labels of both classes nothing is known against any row: all stay.
     """
     model = fit(docs, labels, params)
-    if not len(model.labels):
+    if len(set(model.labels.tolist())) < 2:
         return docs
     shared, name = docs.sparkSession.sparkContext.broadcast(model), free_name(docs, "_score")
     scored = with_score(docs, lambda texts: shared.value.score(texts), name)

@@ -146,8 +146,11 @@ def fit(docs: DataFrame, labels: DataFrame, params: SubwordParams = SubwordParam
     rows = (
         sample.withColumn("h", F.xxhash64("text"))
         .mapInPandas(bags, "doc_id long, label int, h long, ids binary, shares binary")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "h")
-        .limit(2 * params.per_class)
+        # one text of an id that stands in several rows
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("h", "label", "ids", "shares")).alias("r"))
+        .select("doc_id", "r.*")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .toPandas()
     )
     made = [(np.frombuffer(a, np.int32), np.frombuffer(b, np.float16)) for a, b in zip(rows["ids"], rows["shares"])]
@@ -168,8 +171,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, params: SubwordParams =
 
 
 def passing(docs: DataFrame, labels: DataFrame, params: SubwordParams = SubwordParams()) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, all columns as they were."""
+    """The rows of ``docs`` that are not predicted toxic, all columns as they were.
+
+    Without labels of both classes nothing is known against any row: all stay.
+    """
     model = fit(docs, labels, params)
+    if not model.weights.any():
+        return docs
     shared, name = docs.sparkSession.sparkContext.broadcast(model), free_name(docs, "_score")
     scored = with_score(docs, lambda texts: shared.value.score(texts), name)
     return scored.filter(F.col(name) < params.threshold).drop(name)

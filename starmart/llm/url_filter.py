@@ -24,13 +24,15 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-LINK = r"""(?i)<[^>]*?\s(?:href|src|action)\s*=\s*["']?\s*([^"'\s>]+)"""
+#: A tag ends where the next begins, and white space is not given back: linear also in tags that never close.
+LINK = r"""(?i)<[^<>]*?\s(?:href|src|action)\s*+=\s*+["']?\s*+([^"'\s<>]+)"""
 
 
 @dataclass(frozen=True)
 class TrustParams:
     """A host is blocked when its blame reaches ``threshold``, its trust and its allowed seed. Steps go on until no score moves by
-    ``tolerance``; ``steps`` ends them where that is already certain: damping ** steps is below it."""
+    ``tolerance`` in ``per_cut`` of them, after which the plan is cut; ``steps`` ends them where that is already certain:
+    damping ** steps is below it."""
 
     rules: tuple[tuple[str, str, str], ...] = RULES
     damping: float = 0.85
@@ -95,23 +97,24 @@ def spread(seeds: DataFrame, edges: DataFrame, params: TrustParams) -> DataFrame
         seeds.select(F.lit("d").alias("kind"), "host", F.col("distrust").alias("seed"))
     )
     ends = both.select("kind", F.col("b").alias("host"), F.lit(0.0).alias("seed"))
-    nodes = start.union(ends).groupBy("kind", "host").agg(F.sum("seed").alias("seed"))
-    out = both.groupBy("kind", F.col("a").alias("host")).agg(F.lit(True).alias("leaves"))
-    nodes = cut(nodes.join(out, ["kind", "host"], "left").select("kind", "host", "seed", F.coalesce("leaves", F.lit(False)).alias("leaves")))
-    ranks = nodes.withColumn("rank", F.col("seed"))
+    nodes = cut(start.union(ends).groupBy("kind", "host").agg(F.sum("seed").alias("seed")))
     d = params.damping
+    # a host without edges that way is its own neighbour; then a step names the ranks once, and the plan grows by one join
+    leaving = both.select("kind", F.col("a").alias("host")).distinct()
+    stay = nodes.join(leaving, ["kind", "host"], "left_anti").select("kind", F.col("host").alias("a"), F.col("host").alias("b"), F.lit(1.0).alias("share"))
+    both = cut(both.union(stay))
+    given = nodes.select("kind", "host", ((1 - d) * F.col("seed")).alias("rank"))
+    ranks = was = nodes.select("kind", "host", F.col("seed").alias("rank"))
     for step in range(1, params.steps + 1):
         sent = ranks.select("kind", F.col("host").alias("a"), "rank").join(both, ["kind", "a"])
-        sent = sent.select("kind", F.col("b").alias("host"), (F.col("rank") * F.col("share")).alias("got"))
-        got = sent.groupBy("kind", "host").agg(F.sum("got").alias("got"))
-        kept = F.when(F.col("leaves"), 0.0).otherwise(F.col("rank"))
-        rank = (1 - d) * F.col("seed") + d * (F.coalesce("got", F.lit(0.0)) + kept)
-        ranks = ranks.join(got, ["kind", "host"], "left").select("kind", "host", "seed", "leaves", rank.alias("rank"), F.col("rank").alias("was"))
+        sent = sent.select("kind", F.col("b").alias("host"), (d * F.col("rank") * F.col("share")).alias("rank"))
+        ranks = sent.union(given).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if step % params.per_cut == 0 or step == params.steps:
             ranks = cut(ranks)
-            if (ranks.agg(F.max(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0) < params.tolerance:
+            moved = ranks.join(was.withColumnRenamed("rank", "was"), ["kind", "host"]).agg(F.max(F.abs(F.col("rank") - F.col("was"))))
+            if (moved.first()[0] or 0.0) < params.tolerance:
                 break
-        ranks = ranks.drop("was")
+            was = ranks
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
     return ranks.groupBy("host").agg(of("t").alias("trust"), of("d").alias("distrust"))
 

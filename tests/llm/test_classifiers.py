@@ -91,3 +91,18 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark, documents):
     )
     scores = [{r["doc_id"]: r["score"] for r in toxicity.score_documents(documents(rows), label(f)).collect()} for f in (False, True)]
     assert scores[0] == scores[1]
+
+
+@pytest.mark.parametrize("value", [0, 1])
+def test_labels_of_one_class_reject_nothing(spark, documents, value):
+    docs = documents([(i, f"some words number {i}") for i in range(40)])
+    labels = spark.createDataFrame([(i, value, value) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert toxicity.passing(docs, labels).count() == neighbours.passing(docs, labels).count() == 40
+
+
+def test_an_id_in_many_rows_drops_no_other_from_the_sample(spark, documents):
+    """The sample is bounded by ids: rows that repeat one of them take nobody's place."""
+    rows = [(i, f"text {i}") for i in range(40)] + [(3, f"copy {k}") for k in range(50)]
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    model = neighbours.fit(documents(rows), labels, neighbours.NeighbourParams(per_class=4))
+    assert sorted(model.labels.tolist()) == [0.0] * 4 + [1.0] * 4

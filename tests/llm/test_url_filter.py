@@ -82,6 +82,38 @@ def test_hosts_that_link_to_blocked_hosts_are_blocked(spark):
     assert got[10]["rule"] is None
 
 
+def test_links_of_tags_that_never_close(spark):
+    """The pattern is linear: a megabyte of open tags takes no longer than other text."""
+    html = "<a " * 350_000 + "<a href" + " " * 100_000 + "<a\thref = 'http://x.org/1'>" + "<img src=//y.org/2 >"
+    rows = spark.createDataFrame([(1, "http://a.com/", html)], PAGES)
+    assert sorted((r["dst"], r["links"]) for r in url_filter.host_edges(rows).collect()) == [("x.org", 1), ("y.org", 1)]
+
+
+def plain_blame(seeds, edges, damping, steps):
+    blame = dict(seeds)
+    for _ in range(steps):
+        out = {}
+        for a, _, n in edges:
+            out[a] = out.get(a, 0) + n
+        new = dict(seeds)
+        for a in out:
+            mean = sum(n * blame.get(b, 0.0) for x, b, n in edges if x == a) / out[a]
+            new[a] = max(seeds.get(a, 0.0), damping * mean)
+        blame = new
+    return {h: b for h, b in blame.items() if b > 0}
+
+
+def test_blame_against_plain_iteration(spark):
+    edges = [("a", "b", 3), ("a", "bad", 1), ("b", "c", 1), ("c", "a", 2), ("d", "bad", 5), ("e", "d", 1), ("e", "half", 1), ("bad", "a", 1), ("p", "q", 1)]
+    seeds = {"bad": 1.0, "half": 0.5, "c": 0.0}
+    frame = spark.createDataFrame([(h, 0.0, b) for h, b in seeds.items()], "host string, trust double, distrust double")
+    params = TrustParams(tolerance=1e-9, steps=30)
+    got = {r["host"]: r["blame"] for r in url_filter.blamed(frame, spark.createDataFrame(edges, "src string, dst string, links long"), params).collect()}
+    want = plain_blame(seeds, edges, 0.85, 30)
+    assert {h for h, b in got.items() if b > 0} == want.keys()
+    assert all(abs(got[h] - b) < 1e-6 for h, b in want.items())
+
+
 def test_empty_repeated_and_extra_columns(spark):
     empty = spark.createDataFrame([], PAGES)
     assert url_filter.judge(empty).collect() == []
