@@ -246,6 +246,7 @@ SELECTS["refresh_months"] = "\nunion all\n".join(
         ("dim_customers", "first_purchase_date", "lifetime_revenue", "lifetime_orders"),
     )
 )
+SELECTS["ingest_run_rejects"] = SELECTS["ingest_rejects"]
 SELECTS["ingest_upsert"] = "select * from stg_sales"
 SELECTS["cohort_activity"] = "select * from agg_customer_cohort"
 SELECTS["rollup_distinct"] = """

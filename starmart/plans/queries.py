@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -16,11 +17,11 @@ from starmart.operators import checks, measures, staging, states
 from starmart.operators.measures import measure
 from starmart.params import MartParams
 from starmart.plans.incremental import IncrementalMart
-from starmart.plans.ingest import ingest
+from starmart.plans.ingest import ingest, load
 from starmart.plans.mart import AGGREGATES, DIMENSIONS, FACTS, STAGING, Mart
 from starmart.session import shared_folder
 from starmart.sources import normalize, readers, sinks, upsert, watermark
-from starmart.sources.registry import DATASETS
+from starmart.sources.registry import DATASETS, FULL
 from starmart.sources.supplied import SuppliedTables
 from starmart.sources.versions import Store
 
@@ -257,6 +258,14 @@ def ingest_run_incremental(m: Mart) -> DataFrame:
     )
 
 
+def ingest_run_rejects(m: Mart) -> DataFrame:
+    """What a load of the sales as text observed while it wrote them: values per column that came and that did not parse."""
+    root, source = _fresh_folder(m)
+    _publish(source, "sales", _text_sales(m))
+    loaded = load(m.spark, dataclasses.replace(DATASETS["sales"], load_type=FULL), source, root, RUN_TS)
+    return m.spark.createDataFrame([(c, *n) for c, n in loaded.rejects.items()], "column_name string, arrived long, rejected long")
+
+
 def ingest_run_renamed(m: Mart) -> DataFrame:
     """Staged sales of two batches, the second with its date as text under another name."""
     root, dataset = _fresh_folder(m)[0], DATASETS["sales"]
@@ -431,6 +440,7 @@ QUERIES: dict[str, Query] = {
             cohort_order,
             watermark_lookup,
             ingest_upsert,
+            ingest_run_rejects,
             refresh_months,
             rollup_distinct,
             cohort_activity,

@@ -27,5 +27,8 @@ def local_session(cpus: str = "8", memory: str = "8g", **extra: str) -> SparkSes
 
 
 def shared_folder(spark: SparkSession, fallback: str) -> str:
-    """The folder all executors see; ``fallback`` is for sessions that name none, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or fallback
+    """The folder all executors see; ``fallback`` is for local sessions that name none, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and fallback and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("name a folder that all executors see in spark.checkpoint.dir")
+    return folder or fallback

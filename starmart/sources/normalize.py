@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,22 +48,41 @@ def prepare(batch: DataFrame, schema: T.StructType, batch_ts: dt.datetime) -> Da
     return stamp(normalize_types(normalize_names(normalize_types(batch, schema)), schema), batch_ts)
 
 
+def _lost(batch: DataFrame, schema: T.StructType) -> list[tuple[str, Column, Column]]:
+    """(stored name, value, whether it came and did not parse) per declared column that is present under any spelling."""
+    declared = {f.name: f.dataType for f in schema.fields}
+    found = []
+    for name, f in zip(normalize_names(batch).columns, batch.schema.fields):
+        if name in declared:
+            column = F.col(_quoted(f.name))
+            found.append((name, column, column.isNotNull() & _parse(column, f.dataType, declared[name]).isNull()))
+    return found
+
+
 def rejects(batch: DataFrame, schema: T.StructType) -> DataFrame:
     """column_name, arrived, rejected: per declared column the values that came and those that did not parse.
 
     One pass over the batch; a value that is kept at fewer decimals than it came with is not rejected.
     """
-    named = normalize_names(batch)
-    declared = {f.name: f.dataType for f in schema.fields}
-    present = [f for f in named.schema.fields if f.name in declared]
-    counts = []
-    for f in present:
-        column = F.col(_quoted(f.name))
-        lost = column.isNotNull() & _parse(column, f.dataType, declared[f.name]).isNull()
-        counts.append(F.struct(F.lit(f.name).alias("column_name"), F.count(column).alias("arrived"), F.count_if(lost).alias("rejected")))
-    if not present:
+    counts = [
+        F.struct(F.lit(name).alias("column_name"), F.count(column).alias("arrived"), F.count_if(lost).alias("rejected"))
+        for name, column, lost in _lost(batch, schema)
+    ]
+    if not counts:
         return batch.sparkSession.createDataFrame([], "column_name string, arrived long, rejected long")
-    return named.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
+    return batch.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
+
+
+def observe_rejects(batch: DataFrame, schema: T.StructType) -> tuple[DataFrame, Callable[[], dict[str, tuple[int, int]]]]:
+    """The batch, and what ``rejects`` would count of it, by column: known once a job has read the returned batch."""
+    columns = _lost(batch, schema)
+    if not columns:
+        return batch, dict
+    seen = Observation("rejects")
+    counts = [c for i, (_, column, lost) in enumerate(columns) for c in (F.count(column).alias(f"a{i}"), F.count_if(lost).alias(f"r{i}"))]
+    return batch.observe(seen, *counts), lambda: {
+        name: (seen.get[f"a{i}"], seen.get[f"r{i}"]) for i, (name, _, _) in enumerate(columns)
+    }
 
 
 #: Written forms of a day besides ISO, month before day as in the sources.

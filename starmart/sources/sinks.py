@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,19 @@ BATCH_LIST = "batches"
 
 
 def write_batch(
-    batch: DataFrame, root: str, table: str, load_type: str, watermark_column: str | None = None
+    batch: DataFrame,
+    root: str,
+    table: str,
+    load_type: str,
+    watermark_column: str | None = None,
+    accept: Callable[[], None] = lambda: None,
 ) -> dt.date | dt.datetime | None:
     """Write one prepared batch and return the largest watermark value in it.
 
     The batch is read once, by the one job that writes it into a folder of its own; its row count and its
     largest watermark are observed on the way. Then one line in the table's list of batches makes it part of
     the table, or, after a full load, the whole of it. A load that fails, or is empty, adds no line and
-    leaves the table as it was.
+    leaves the table as it was. So does one that ``accept`` refuses by raising: it is called when the rows are written.
     """
     if load_type not in LOAD_TYPES:
         raise ValueError(f"unknown load type {load_type!r} for {table}, expected one of {list(LOAD_TYPES)}")
@@ -34,6 +40,7 @@ def write_batch(
     observed.write.mode("error").parquet(f"{root}/{table}/{name}")
     if not seen.get["row_count"]:
         return None
+    accept()
     line = batch.sparkSession.range(1, numPartitions=1).select(
         F.lit(name).alias("batch"), F.lit(load_type == FULL).alias("replaces"), F.current_timestamp().alias("listed_at")
     )

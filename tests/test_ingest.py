@@ -9,7 +9,7 @@ import pytest
 from frames import ad, day, dicts, raw, sale
 
 from starmart.operators.staging import stg_marketing, stg_sales
-from starmart.plans.ingest import ingest, ingest_all
+from starmart.plans.ingest import TooManyRejects, ingest, ingest_all, load
 from starmart.sources import normalize, readers, schemas, sinks, watermark
 from starmart.sources.registry import DATASETS
 from starmart.sources.schemas import INGESTED_AT
@@ -227,3 +227,23 @@ def test_an_earlier_default_watermark_reaches_further_back(spark, folder, source
     publish(source, **{name.removeprefix("raw_"): frame for name, frame in tables.items()})
     ingest_all(spark, source, folder, T1, default_watermark=dt.datetime(2019, 1, 1))
     assert readers.read_raw(spark, folder, DATASETS["sales"]).count() == 1
+
+
+def test_rejects_are_counted_by_the_load_and_can_refuse_it(spark, folder):
+    """Renamed columns count under their stored names; a refused batch leaves the table as it was."""
+    dataset = replace(DATASETS["sales"], load_type="full")
+    source = readers.Source(root=f"{folder}/source")
+
+    def publish(rows):
+        frame = spark.createDataFrame(rows, "`Order Id` string, product_id string, Quantity string, other string")
+        frame.write.mode("overwrite").parquet(f"{source.root}/{dataset.source}")
+
+    publish([("O1", "P1", "3", "x"), ("O2", "P1", "n/a", "x"), ("O3", None, None, "x"), ("O4", "P1", "4.5", "x")])
+    first = load(spark, dataset, source, folder, T1)
+    assert first.rejects == {"order_id": (4, 0), "product_id": (3, 0), "quantity": (3, 2)} and first.watermark is None
+    publish([("O9", "P9", "none", "x")])
+    with pytest.raises(TooManyRejects, match="quantity"):
+        load(spark, dataset, source, folder, T2, most_rejected=0.5)
+    assert readers.read_raw(spark, folder, dataset).count() == 4
+    load(spark, dataset, source, folder, T2)
+    assert readers.read_raw(spark, folder, dataset).count() == 1
