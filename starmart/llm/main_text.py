@@ -21,10 +21,15 @@ from starmart.llm.common import map_lists
 
 @dataclass(frozen=True)
 class CutParams:
+    """``zone`` is what a sign of boilerplate costs right below it, ``fading`` how much of that each further level keeps. A
+    sign of layout on an element with more than ``bulk`` of the page's unlinked text is none."""
+
     adjacent: float = 0.9
     sibling: float = 0.5
     zone: float = 6.0
+    fading: float = 0.8
     section: float = 2.5
+    bulk: float = 0.6
 
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -32,61 +37,69 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Elements whose text is never shown as text.
-SILENT = frozenset("head script style noscript template svg math iframe object button select textarea label canvas audio video".split())
+SILENT = frozenset("head script style noscript template svg iframe object button select textarea label canvas audio video".split())
 BOILERPLATE = frozenset("nav footer aside menu dialog header form".split())
 WRAPPERS = frozenset(("header", "form"))
 CONTENT = frozenset(("article", "main"))
-BAD_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotion|banners?|menus?|nav|navbar|navigation|breadcrumbs?"
-    r"|sidebar|side|footer|foot|header|masthead|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login"
-    r"|comments?|disqus|respond|replies|reply|reviews?|share|sharing|social|related|recommended|widget|pagination|pager|copyright|legal|toolbar|skip)(?:$|[\s_-])",
+# Names of parts of a page. Those of the second list also name layouts: an element that holds most of the
+# page's text is not such a part, whatever it is called.
+PARTS = re.compile(
+    r"(?:^|[_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotion|banners?|menus?|nav|navbar|navigation|breadcrumbs?"
+    r"|cookies?|consent|notices?|alert|popup|newsletter|subscribe|signup|login|comments?|disqus|respond|replies|reply|reviews?|related|recommended"
+    r"|pagination|pager|copyright|legal|skip)(?:$|[_-])",
     re.I,
 )
+LAYOUT = re.compile(
+    r"(?:^|[_-])(?:sidebar|side|footer|foot|header|masthead|modal|overlay|share|sharing|social|widget|toolbar)(?:$|[_-])", re.I
+)
+#: "has-sidebar", "no-comments": a name about a part is no name of that part.
+ABOUT = re.compile(r"^(?:has|have|with|without|no|is|are|hide|show|layout|page|site|body|wp)[_-]", re.I)
 GOOD_HINT = re.compile(r"(?:^|[\s_-])(?:article|story|post|entry|content|body|text|main)(?:$|[\s_-])", re.I)
 
 
 @dataclass
-class Block:
-    text: str
-    linked: int
-    bad: bool
-    good: bool
-    path: tuple[int, ...]
+class Element:
+    tag: str
+    above: "Element | None"
+    part: bool = False
+    layout: bool = False
+    good: bool = False
+    silent: bool = False
+    level: int = 0
+    own_text: int = 0  # unlinked characters within
 
 
 @dataclass
-class Element:
-    tag: str
-    number: int
-    bad: bool
-    wrapper: bool
-    good: bool
-    silent: bool
+class Block:
+    text: str
+    linked: int
+    within: Element
 
 
 @dataclass
 class Blocks(HTMLParser):
-    """The page's blocks of text in order, each with what surrounds it. Unclosed and stray tags are taken as they come."""
+    """The page's blocks of text in order, each with what surrounds it. Unclosed and stray tags are taken as they come.
+
+    Elements know what is above them, so a block costs the same at any depth.
+    """
 
     found: list[Block] = field(default_factory=list)
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[Element] = []
+        self.root = Element("", None)
+        self.stack: list[Element] = [self.root]
+        self.elements: list[Element] = [self.root]
         self.open: Counter[str] = Counter()
         self.parts: list[str] = []
-        self.linked = self.silent = self.count = 0
+        self.linked = self.silent = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            inside = False
-            bad = False
-            for e in reversed(self.stack):  # from the innermost out
-                bad |= e.bad or (e.wrapper and not inside)
-                inside |= e.good
-            path = tuple(e.number for e in self.stack if e.tag not in INLINE)
-            self.found.append(Block(text, self.linked, bad, inside, path))
+            within = self.stack[-1]
+            within.own_text += max(0, len(text) - self.linked)
+            self.found.append(Block(text, self.linked, within))
         self.parts, self.linked = [], 0
 
     def pop(self) -> None:
@@ -110,16 +123,18 @@ class Blocks(HTMLParser):
         if tag in VOID:
             return
         kinds = dict(attrs)
-        hint = " ".join(kinds.get(k) or "" for k in ("class", "id", "role"))
+        names = " ".join(kinds.get(k) or "" for k in ("class", "id", "role")).split()
         hidden = "hidden" in kinds or kinds.get("aria-hidden") == "true" or "display:none" in (kinds.get("style") or "").replace(" ", "").lower()
-        bad = hidden or bool(hint and BAD_HINT.search(hint)) or (tag in BOILERPLATE and tag not in WRAPPERS)
-        if tag in ("html", "body"):
-            bad = False
-        good = tag in CONTENT or bool(hint and not bad and GOOD_HINT.search(hint))
-        self.count += 1
-        self.stack.append(Element(tag, self.count, bad, tag in WRAPPERS, good, tag in SILENT))
+        named = [] if tag in ("html", "body") else [n for n in names if not ABOUT.match(n)]
+        part = tag in BOILERPLATE - WRAPPERS or any(map(PARTS.search, named))
+        layout = tag in WRAPPERS or any(map(LAYOUT.search, named))
+        fine = tag in CONTENT or any(GOOD_HINT.search(n) and not PARTS.search(n) and not LAYOUT.search(n) for n in names)
+        above = self.stack[-1]
+        element = Element(tag, above, part or hidden, layout, fine and not part and not hidden, tag in SILENT, above.level + (tag not in INLINE))
+        self.stack.append(element)
+        self.elements.append(element)
         self.open[tag] += 1
-        self.silent += tag in SILENT
+        self.silent += element.silent
 
     def _open_paragraph(self) -> bool:
         """A paragraph is open with no other block in it."""
@@ -127,7 +142,7 @@ class Blocks(HTMLParser):
             if e.tag == "p":
                 return True
             if e.tag not in INLINE:
-                return False
+                break
         return False
 
     def handle_endtag(self, tag):
@@ -143,29 +158,69 @@ class Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def blocks_of(html: str) -> list[Block]:
+def parsed(html: str) -> Blocks:
     parser = Blocks()
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.found
+    return parser
 
 
-def evidence(block: Block, params: CutParams) -> float:
+def settings(elements: list[Element], params: CutParams) -> dict[int, tuple[bool, float]]:
+    """Per element whether it is within content, and what the signs of boilerplate above it weigh.
+
+    Elements come parents first. A sign fades with every level below it; an element of content below one of layout
+    starts anew, one below a part (a comment's own ``article``) does not.
+    """
+    for e in reversed(elements):
+        if e.above is not None:
+            e.above.own_text += e.own_text
+    most = params.bulk * elements[0].own_text
+    out: dict[int, tuple[bool, float, float]] = {}
+    for e in elements:
+        inside, part, layout = out[id(e.above)] if e.above is not None else (False, 0.0, 0.0)
+        if e.tag not in INLINE:
+            part, layout = part * params.fading, layout * params.fading
+        if e.part:
+            inside, part = False, params.zone
+        elif e.good and not part:
+            inside, layout = True, 0.0
+        elif e.layout and e.own_text <= most and not (e.tag in WRAPPERS and inside):
+            inside, layout = False, params.zone
+        out[id(e)] = inside, part, layout
+    return {k: (inside, max(part, layout)) for k, (inside, part, layout) in out.items()}
+
+
+def evidence(block: Block, inside: bool, weight: float, params: CutParams) -> float:
     """Logarithm of the odds that a block is content."""
     n = len(block.text)
     score = -1.0 + 0.9 * math.log1p(n / 20) - 3.0 * min(1.0, block.linked / n)
     score += 0.6 if block.text[-1] in ".!?:;\"'" else 0.0
-    return score + params.section * block.good - params.zone * block.bad
-
-
-def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    common = 0
-    for x, y in zip(a[:-1], b[:-1]):
-        if x != y:
+    return score + params.section * inside - weight
+
+
+def container(block: Block) -> Element:
+    """What holds the block's own element."""
+    e = block.within
+    while e.tag in INLINE:
+        e = e.above
+    return e.above or e
+
+
+def _distance(a: Element, b: Element) -> int:
+    """Steps between two containers in the tree; from one block to the next they are elements closed and opened between."""
+    steps = 0
+    while a is not b:
+        if a.level > b.level:
+            a = a.above
+        elif b.level > a.level:
+            b = b.above
+        else:
+            a, b, steps = a.above, b.above, steps + 1
+        steps += 1
+        if a is None or b is None:
             break
-        common += 1
-    return len(a) + len(b) - 2 - 2 * common
+    return steps
 
 
 def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -233,16 +288,17 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
 
 def extract(html: str | None, params: CutParams = CutParams()) -> str:
     """The main text of one page; empty if there is none."""
-    blocks = blocks_of(html or "")
+    page = parsed(html or "")
+    blocks, around = page.found, settings(page.elements, params)
     edges, last = [], {}
-    for i, block in enumerate(blocks):
+    held = [container(b) for b in blocks]
+    for i, here in enumerate(held):
         if i:
-            edges.append((i - 1, i, params.adjacent / (1 + _distance(blocks[i - 1].path, block.path))))
-        container = block.path[:-1]
-        if container in last and last[container] != i - 1:
-            edges.append((last[container], i, params.sibling))
-        last[container] = i
-    kept = minimum_cut([evidence(b, params) for b in blocks], edges)
+            edges.append((i - 1, i, params.adjacent / (1 + _distance(held[i - 1], here))))
+        if id(here) in last and last[id(here)] != i - 1:
+            edges.append((last[id(here)], i, params.sibling))
+        last[id(here)] = i
+    kept = minimum_cut([evidence(b, *around[id(b.within)], params) for b in blocks], edges)
     return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import random
 
+import pytest
+
 from starmart.llm import main_text
 from starmart.llm.main_text import extract, minimum_cut
 
@@ -74,3 +76,33 @@ def test_pages_table(spark):
     assert [(r["text"], r["n_chars"]) for r in got if r["page_id"] == 1] == [(WANT, len(WANT))] * 2
     assert [(r["text"], r["n_chars"]) for r in got if r["page_id"] != 1] == [("", 0)] * 2
     assert main_text.main_text(frame.limit(0)).collect() == []
+
+
+STORY = "".join(f"<p>Paragraph number {i} of the story has enough words to be read as text, and it ends well here.</p>" for i in range(20))
+
+
+@pytest.mark.parametrize("inner", [STORY, f"<article>{STORY}</article>", f"<div><section>{STORY}</section></div>", f"<main><div class=text>{STORY}</div></main>"])
+@pytest.mark.parametrize(
+    "name", ["has-sidebar", "with-sidebar", "post share", "no-comments", "layout-side", "header-fixed", "sidebar-left main", "page-header", "is-menu-open", "site-footer-sticky"]
+)
+def test_no_article_is_lost_in_a_layout(name, inner):
+    """What holds most of the page's text is no side bar, whatever its class is called."""
+    around = "<nav><a href=1>Home</a> <a href=2>News</a></nav>", "<footer>Imprint and so on, in one sentence.</footer>"
+    body = f"{around[0]}<div class='{name}'>{inner}</div>{around[1]}"
+    for html in (page(body), page(f"<div id=wrapper>{body}</div>"), page(f"<form id=aspnet action=x>{body}<input name=y></form>")):
+        assert len(extract(html).split("\n")) == 20
+
+
+def test_parts_within_the_content_go():
+    side = "<div class=sidebar><p>About the author of this page, who writes things often and well.</p></div>"
+    reader = "<p>A comment by some reader, long enough to be a paragraph of its own, which goes on for quite a while, really.</p>"
+    comments = f"<div class=comments><div class=c><div>{reader}</div></div><div class=c><article>{reader}</article></div></div>"
+    got = extract(page(f"<div class=content>{side}{STORY}{comments}</div>"))
+    assert len(got.split("\n")) == 20 and "author" not in got and "reader" not in got
+
+
+def test_many_nested_elements_take_linear_time():
+    words = extract("<div>word here " * 100_000)
+    assert isinstance(words, str)
+    assert extract("<div>" * 100_000 + f"<article>{STORY}</article>").count("\n") == 19
+    assert extract("<b>" * 50_000 + f"<article>{STORY}</article>").count("\n") == 19
