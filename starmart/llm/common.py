@@ -73,6 +73,20 @@ def labelled(labels: DataFrame, label: str) -> DataFrame:
     )
 
 
+def least_hashes(rows: DataFrame, order: list, wanted: int, known: int) -> DataFrame:
+    """The ``wanted`` rows of the smallest hashes out of ``known``; ``order`` begins with a 64-bit hash.
+
+    Nearly all other rows go by a bound on the hash, which so many rows pass with near certainty, so tasks hand on a few
+    rows each however many tasks there are. If the bound lets too few pass, it does not count.
+    """
+    share = (wanted + 10 * wanted**0.5 + 100) / max(1, known)
+    if share < 1:
+        below = rows.filter(order[0] < F.lit(int(-(2**63) + share * 2**64)))
+        if below.count() >= wanted:
+            rows = below
+    return rows.orderBy(*order).limit(wanted)
+
+
 def labelled_sample(labels: DataFrame, docs: DataFrame, label: str, per_class: int) -> tuple[DataFrame, float]:
     """(doc_id, label, text) of at most ``per_class`` ids of each class, and the share of class 1 among all labels.
 
@@ -85,7 +99,7 @@ def labelled_sample(labels: DataFrame, docs: DataFrame, label: str, per_class: i
     order = [F.xxhash64("doc_id"), "doc_id"]
     sample = None
     for value in (0, 1):
-        part = rows.filter(F.col("label") == value).orderBy(*order).limit(per_class)
+        part = least_hashes(rows.filter(F.col("label") == value), order, per_class, counts.get(value, 0))
         sample = part if sample is None else sample.union(part)
     texts = docs.select("doc_id", text_of().alias("text"))
     return texts.join(F.broadcast(sample), "doc_id"), share
