@@ -168,24 +168,70 @@ def checks_of(kind: str) -> list[Check]:
 def report(checks: Iterable[Check], tables: Tables) -> DataFrame:
     """Violations per rule: check, table_name, target, violations.
 
-    All row conditions of one table are counted in one pass over it; the other rules count their own
-    violating rows.
+    A table is read once for all its row conditions, and once for all its unique keys and relationships. Relationship
+    and row-count rules count the rows behind each violation.
     """
     checks = list(checks)
-    row_checks = [c for c in checks if isinstance(c, RowCheck)]
-    parts = [
-        _count_rows(tables[table], [c for c in row_checks if c.table == table])
-        for table in dict.fromkeys(c.table for c in row_checks)
-    ]
+
+    def per_table(kinds: type | tuple[type, ...], count: Callable[[str, list, Tables], DataFrame]) -> list[DataFrame]:
+        own = [c for c in checks if isinstance(c, kinds)]
+        return [count(t, [c for c in own if c.table == t], tables) for t in dict.fromkeys(c.table for c in own)]
+
+    parts = per_table(RowCheck, lambda t, own, tables: _count_rows(tables[t], own))
+    parts += per_table((UniqueCheck, RelationshipCheck), _audit_keys)
     for check in checks:
-        if not isinstance(check, RowCheck):
-            # Relationship and row-count rules carry the number of rows behind each violation.
-            found = F.count("*") if isinstance(check, UniqueCheck) else F.coalesce(F.sum("row_count"), F.lit(0))
-            counted = check.violations(tables).agg(found.alias("violations"))
-            parts.append(_labelled(counted, check))
+        if isinstance(check, RowCountCheck):
+            found = F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
+            parts.append(_labelled(check.violations(tables).agg(found), check))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _stacked(rows: DataFrame, keys: list[tuple[int, tuple[str, ...]]]) -> DataFrame:
+    """(rule, key) of every row and rule; a single column that is NULL is no key, a combination with NULLs is one."""
+
+    def entry(rule: int, columns: tuple[str, ...]) -> Column:
+        key = F.array(*[F.col(c).cast("string") for c in columns])
+        if len(columns) == 1:
+            key = F.when(F.col(columns[0]).isNotNull(), key)
+        return F.struct(F.lit(rule).alias("rule"), key.alias("key"))
+
+    stack = F.explode(F.array(*[entry(*k) for k in keys]))
+    return rows.select(stack.alias("k")).select("k.rule", "k.key").filter(F.col("key").isNotNull())
+
+
+def _audit_keys(table: str, checks: list[UniqueCheck | RelationshipCheck], tables: Tables) -> DataFrame:
+    """All unique and relationship rules of a table in one pass over it and one over each parent.
+
+    Every row gives one key per rule. Keys are counted before they move, so a key that a third of the rows share is one
+    row in the one join with the parents' keys.
+    """
+    rules = list(enumerate(checks))
+    columns = [(i, c.columns if isinstance(c, UniqueCheck) else (c.target,)) for i, c in rules]
+    keys = _stacked(tables[table], columns).groupBy("rule", "key").agg(F.count("*").alias("row_count"))
+    parents: dict[str, list[tuple[int, tuple[str, ...]]]] = {}
+    for i, c in rules:
+        if isinstance(c, RelationshipCheck):
+            parents.setdefault(c.parent, []).append((i, (c.target,)))
+    unknown = F.lit(False)
+    if parents:
+        known = reduce(DataFrame.unionByName, [_stacked(tables[p], own) for p, own in parents.items()]).distinct()
+        keys = keys.join(known.withColumn("known", F.lit(True)), ["rule", "key"], "left")
+        unknown = F.col("known").isNull()
+    related = F.col("rule").isin([i for i, c in rules if isinstance(c, RelationshipCheck)])
+    wrong = F.when(related, F.when(unknown, F.col("row_count"))).otherwise((F.col("row_count") > 1).cast("bigint"))
+    counted = keys.groupBy("rule").agg(F.sum(wrong).alias("violations"))
+    named = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(i).alias("rule"), F.lit(c.kind).alias("check"), F.lit(table).alias("table_name"), F.lit(c.target).alias("target"))
+                for i, c in rules
+            ]
+        )
+    )
+    rows = tables[table].sparkSession.range(1, numPartitions=1).select(named)
+    return rows.join(counted, "rule", "left").select("check", "table_name", "target", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
 def _count_rows(table: DataFrame, checks: list[RowCheck]) -> DataFrame:
     counts = table.agg(
         F.array(

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.operators import checks
 from starmart.operators.aggregates import customers_and_orders
 from starmart.operators.staging import latest_copy
 from starmart.plans.mart import AGGREGATES, DIMENSIONS, FACTS, TABLES, Mart, build_mart
@@ -159,3 +160,21 @@ def test_written_aggregates_read_few_columns(spark, folder):
     fact_scan = next(line for line in text.splitlines() if "FileScan" in line and "order_id" in line)
     for unused in ("sales_key", "gross_sales", "ship_mode", "product_key"):
         assert unused not in fact_scan
+
+
+def test_keys_are_audited_in_one_pass(spark, folder):
+    """Every table is scanned once for all its unique keys, and every parent once, though the sales have five parents."""
+    tables = {}
+    for name in ("fact_sales", "dim_date", "dim_customers", "dim_products", "dim_channels", "dim_campaigns"):
+        rows = mart(spark, FOLDER)[name].limit(50)
+        rows.write.parquet(f"{folder}/{name}")
+        tables[name] = spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+    rules = [c for c in checks.CHECKS if c.table == "fact_sales" and c.kind in (checks.UNIQUE, checks.RELATIONSHIPS)]
+    assert len(rules) == 6
+    with settings(spark, aqe="false"):
+        text = plan(checks.report(rules, tables))
+    assert text.count("FileScan parquet") == len(tables)
+    counted = {(c.kind, c.target): c.violations(tables) for c in rules}
+    for r in checks.report(rules, tables).collect():
+        rows = counted[r["check"], r["target"]].collect()
+        assert r["violations"] == (len(rows) if r["check"] == checks.UNIQUE else sum(x["row_count"] for x in rows))
