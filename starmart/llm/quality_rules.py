@@ -27,7 +27,7 @@ class RatioParams:
 
     buckets: int = 1 << 20
     smoothing: float = 0.5
-    least: float = 1.0
+    least: float = 2.0
     least_words: int = 20
     repeat_percent: int = 30
     trusted_upper_percent: int = 25

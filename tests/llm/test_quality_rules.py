@@ -70,7 +70,7 @@ def test_ratio(spark, documents):
             target.update(grams[r["doc_id"]])
     assert {r["doc_id"] for r in rows if r["t"]} >= set(range(30)) and not {r["doc_id"] for r in rows if r["t"]} & set(range(30, 40))
     n, m = sum(raw.values()), sum(target.values())
-    share = lambda c, total: (c + 1 + total / 1024) / (1.5 * total + 512)
+    share = lambda c, total: (c + 2 + total / 1024) / (1.5 * total + 1024)
     log = [math.log(share(target[b], m) / share(raw[b], n)) for b in range(512)]
     log = [min(max(round(x * 24), -96), 31) / 24 for x in log]
     for r in quality_rules.judge(frame, params).collect():
