@@ -178,3 +178,11 @@ def test_keys_are_audited_in_one_pass(spark, folder):
     for r in checks.report(rules, tables).collect():
         rows = counted[r["check"], r["target"]].collect()
         assert r["violations"] == (len(rows) if r["check"] == checks.UNIQUE else sum(x["row_count"] for x in rows))
+
+
+def test_member_keys_are_made_after_the_last_join(spark):
+    """Hash keys of customers and products do not move through the joins of the sales fact; their ids do."""
+    with settings(spark, aqe="false", broadcast="-1"):
+        text = plan(mart(spark, FOLDER)["fact_sales"])
+    below = text[text.index("Join") :]
+    assert "customer_key" not in below and "product_key" not in below
