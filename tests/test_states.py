@@ -8,6 +8,7 @@ from frames import PARAMS, mart, sale
 from pyspark.sql import functions as F
 
 from starmart.operators import states
+from starmart.plans import queries
 from starmart.plans.queries import _written
 
 
@@ -84,3 +85,14 @@ def test_one_shuffle_by_customer(spark):
     state = states.activity_state(facts(spark)["fact_sales"].sparkSession.createDataFrame([], facts(spark)["fact_sales"].schema), PARAMS)
     text = state._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning(customer_key") == 1 and text.count("Exchange") == 1
+
+
+def test_activity_and_roll_ups_read_the_raw_lines_once(spark, monkeypatch):
+    """Later jobs start from what the first one wrote."""
+    for name in ("cohort_activity",):
+        plans, write = [], queries._written
+        monkeypatch.setattr(queries, "_written", lambda rows, path: (plans.append(rows), write(rows, path))[1])
+        plans.append(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
+        monkeypatch.undo()
+        raw = [p for p in plans if "l_orderkey" in p._jdf.queryExecution().optimizedPlan().toString()]
+        assert len(raw) == 1, name
