@@ -61,13 +61,11 @@ def new_values(facts: DataFrame, column: str, dictionary: DataFrame) -> DataFram
 
 def distinct_state(facts: DataFrame, column: str, dictionary: DataFrame) -> DataFrame:
     """(date_key, channel_key, campaign_key, block, bits): the state of one batch or one set of days."""
-    # each value once per group before it meets the dictionary
-    pairs = facts.filter(F.col(column).isNotNull()).select(*KEYS, F.col(column).alias("value")).distinct()
-    return (
-        pairs.join(dictionary.select("value", "id"), "value")
-        .groupBy(*KEYS, F.bitmap_bucket_number("id").alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
-    )
+    pairs = facts.filter(F.col(column).isNotNull()).select(*KEYS, F.col(column).alias("value"))
+    numbers = pairs.join(dictionary.select("value", "id"), "value").withColumn("block", F.bitmap_bucket_number("id"))
+    # numbers move, not the tasks' bitmaps of 4 KB, most of which would hold a few numbers
+    gathered = numbers.select(*KEYS, "block", F.bitmap_bit_position("id").alias("place")).repartition(*KEYS, "block")
+    return gathered.groupBy(*KEYS, "block").agg(F.bitmap_construct_agg("place").alias("bits"))
 
 
 def rolled_up(state: DataFrame, sets: dict[str, list[str]], name: str) -> DataFrame:

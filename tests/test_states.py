@@ -87,9 +87,20 @@ def test_one_shuffle_by_customer(spark):
     assert text.count("Exchange hashpartitioning(customer_key") == 1 and text.count("Exchange") == 1
 
 
+def test_bitmaps_are_made_after_the_last_shuffle(spark):
+    """A task's own bitmap of a day, channel, campaign and block would hold a few numbers in 4 KB."""
+    facts = spark.sql("SELECT date_add(date'2024-01-01', int(id % 2)) AS date_key, 'e' || id % 2 AS channel_key, 'k' || id % 2 AS campaign_key, string(id % 7) AS customer_key FROM range(100)")
+    dictionary = spark.sql("SELECT string(id) AS value, 40000 * id AS id FROM range(6)")
+    state = states.distinct_state(facts, "customer_key", dictionary)
+    rows = [bytes(r["bits"]) for r in state.collect()]
+    assert len(rows) == 12 and all(sum(b.bit_count() for b in bits) == 1 for bits in rows)
+    text = state._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.rindex("bitmap_construct_agg") < text.index("Exchange")
+
+
 def test_activity_and_roll_ups_read_the_raw_lines_once(spark, monkeypatch):
     """Later jobs start from what the first one wrote."""
-    for name in ("cohort_activity",):
+    for name in ("cohort_activity", "rollup_distinct"):
         plans, write = [], queries._written
         monkeypatch.setattr(queries, "_written", lambda rows, path: (plans.append(rows), write(rows, path))[1])
         plans.append(queries.QUERIES[name](spark, "/root/testdata/sf0.001"))
