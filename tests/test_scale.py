@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.functions import key_bytes
 from starmart.operators import checks
 from starmart.operators.aggregates import customers_and_orders
 from starmart.operators.staging import latest_copy
@@ -186,3 +187,14 @@ def test_member_keys_are_made_after_the_last_join(spark):
         text = plan(mart(spark, FOLDER)["fact_sales"])
     below = text[text.index("Join") :]
     assert "customer_key" not in below and "product_key" not in below
+
+
+def test_half_size_keys_tell_the_same_rows_apart(spark):
+    """A surrogate key moves as 16 bytes; what is no hash stays as it is, NULL stays NULL."""
+    rows = spark.sql("SELECT md5(string(id)) AS k FROM range(50) UNION ALL SELECT explode(array('hot', 'c1', NULL))")
+    got = [r["k"] for r in rows.select(key_bytes("k")).collect()]
+    assert sum(len(k) == 16 for k in got if k is not None) == 50
+    assert len({bytes(k) for k in got if k is not None}) == 52 and got.count(None) == 1
+    with settings(spark, aqe="false", broadcast="-1"):
+        for name in ("agg_growth_daily", "agg_sales_daily"):
+            assert "unhex(" in plan(mart(spark, FOLDER)[name])
