@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import GAP_CHARACTERS, UPPER, cut, let, text_of, words_of
+from starmart.llm.common import GAP, GAP_CHARACTERS, cut, let, text_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -39,21 +39,26 @@ class RatioParams:
     zero: int = 96
 
 
-def without(column: Column, characters: str) -> Column:
-    """Code points that are left when ``characters`` go."""
-    return F.length(F.translate(column, characters, ""))
+def bucket_of(gram: Column, params: RatioParams) -> Column:
+    return F.pmod(gram, F.lit(params.buckets)).cast("int")
 
 
-def repeated_words(hashes: Column) -> Column:
-    """Words in windows of eight that occur twice or more; ``hashes`` has one number per word."""
+def beside(hashes: Column, distance: int) -> Column:
+    """A number for every element and the one ``distance`` further on, as long as there is one."""
+    n = F.greatest(F.size(hashes) - distance, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, 1 + distance, n), lambda a, b: F.xxhash64(a, b))
+
+
+def repeated_words(pairs: Column) -> Column:
+    """Words in windows of eight that occur twice or more; ``pairs`` has one number per two neighbouring words."""
 
     def covered(windows: Column) -> Column:
-        placed = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
+        placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
 
         def starts(rows: Column) -> Column:
             last = F.size(rows) - 1
             near = lambda i, j: (j >= 0) & (j <= last) & (rows[i]["h"] == F.get(rows, j)["h"])
-            return F.array_sort(
+            return F.sort_array(
                 F.filter(
                     F.transform(F.sequence(F.lit(0), last), lambda i: F.when(near(i, i - 1) | near(i, i + 1), rows[i]["p"])),
                     lambda p: p.isNotNull(),
@@ -66,44 +71,42 @@ def repeated_words(hashes: Column) -> Column:
         zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
         return F.aggregate(let(placed, starts), zero, grow, lambda acc: acc["n"])
 
-    n = F.size(hashes)
-    windows = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(hashes, i, WINDOW)))
-    once = lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w))
-    return F.when(n <= WINDOW, F.lit(0)).otherwise(let(windows, once)).cast("long")
+    def unless_distinct(numbers: Column, then) -> Column:
+        return let(numbers, lambda x: F.when(F.size(F.array_distinct(x)) == F.size(x), F.lit(0)).otherwise(then(x)))
 
-
-def grams(hashes: Column, buckets: int) -> Column:
-    """Buckets of all one- and two-word grams."""
-    pairs = F.zip_with(
-        F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0))),
-        F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))),
-        lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int")), pairs)
+    # two pairs make four words, two fours a window; where no four words come twice, no window does
+    repeated = unless_distinct(beside(pairs, 2), lambda fours: unless_distinct(beside(fours, 4), covered))
+    return F.when(F.size(pairs) < WINDOW, F.lit(0)).otherwise(repeated).cast("long")
 
 
 def duplicate_lines() -> Column:
-    lines = F.filter(F.split("_text", "\n"), lambda line: F.translate(line, GAP_CHARACTERS, "") != "")
+    lines = F.filter(F.split("_text", "\n"), lambda line: F.btrim(line, F.lit(GAP_CHARACTERS)) != "")
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
+def symbols() -> Column:
+    return F.regexp_count("_text", F.lit(f"[{SYMBOLS}]"))
+
+
 def prepared(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a number per word."""
+    """doc_id, text, code points in words, a number per word and one per two neighbouring words."""
     rows = docs.select("doc_id", text_of().alias("_text"))
-    return rows.withColumn("_hashes", F.transform(words_of(F.col("_text")), lambda w: F.xxhash64(w)))
+    # without outer gaps no word is empty, so none has to be filtered out
+    inner = F.btrim("_text", F.lit(GAP_CHARACTERS))
+    rows = rows.withColumn("_words", F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, GAP)))
+    rows = rows.select("doc_id", "_text", F.length(F.array_join("_words", "")).alias("_chars"), F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    return rows.withColumn("_pairs", beside(F.col("_hashes"), 1))
 
 
 def trusted(params: RatioParams) -> Column:
     """Looks clean on the surface: long enough, no symbols, no repeated line, few capitals, varied words."""
-    n, chars = F.size("_hashes"), without(F.col("_text"), GAP_CHARACTERS)
-    upper = F.length("_text") - without(F.col("_text"), UPPER)
-    varied = F.size(F.array_distinct("_hashes"))
+    n, varied = F.size("_hashes"), F.size(F.array_distinct("_hashes"))
     return (
         (n >= params.least_words)
-        & (without(F.col("_text"), SYMBOLS) == F.length("_text"))
-        & (duplicate_lines() == 0)
-        & (100 * upper <= params.trusted_upper_percent * chars)
+        & ~F.col("_text").rlike(f"[{SYMBOLS}]")
         & (100 * varied >= params.trusted_distinct_percent * n)
+        & (100 * F.regexp_count("_text", F.lit("[A-Z]")) <= params.trusted_upper_percent * F.col("_chars"))
+        & (duplicate_lines() == 0)
     )
 
 
@@ -114,8 +117,9 @@ def ratios(rows: DataFrame, params: RatioParams) -> bytes:
     """
     counted = cut(
         # judged before the rows multiply
-        rows.select("_hashes", trusted(params).alias("t"))
-        .select("t", F.explode(grams(F.col("_hashes"), params.buckets)).alias("bucket"))
+        rows.select("_hashes", "_pairs", trusted(params).alias("t"))
+        .select("t", F.explode(F.concat("_hashes", "_pairs")).alias("gram"))
+        .select("t", bucket_of(F.col("gram"), params).alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.count_if("t").alias("target"))
     )
@@ -144,17 +148,19 @@ def judge(docs: DataFrame, params: RatioParams = RatioParams()) -> DataFrame:
     """
     rows = prepared(docs)
     table = F.lit(ratios(rows, params))
-    sign = lambda b: F.ascii(F.substring(table, b + 1, F.lit(1)).cast("string"))
-    signs = F.aggregate(grams(F.col("_hashes"), params.buckets), F.lit(0).cast("long"), lambda acc, b: acc + sign(b))
-    n_grams = F.greatest(2 * F.size("_hashes") - 1, F.lit(0))
+    sign = lambda gram: F.ascii(F.substring(table, bucket_of(gram, params) + 1, F.lit(1)).cast("string"))
+    signs = F.lit(0).cast("long")
+    for grams in ("_hashes", "_pairs"):
+        signs = F.aggregate(grams, signs, lambda acc, gram: acc + sign(gram))
+    n_grams = F.size("_hashes") + F.size("_pairs")
     total = (signs - params.zero * n_grams) / params.steps
     measured = rows.select(
         "doc_id",
         F.size("_hashes").cast("long").alias("n_words"),
-        without(F.col("_text"), GAP_CHARACTERS).cast("long").alias("word_chars"),
-        (F.length("_text") - without(F.col("_text"), SYMBOLS)).cast("long").alias("n_symbols"),
+        F.col("_chars").cast("long").alias("word_chars"),
+        symbols().cast("long").alias("n_symbols"),
         duplicate_lines().alias("n_dup_lines"),
-        repeated_words(F.col("_hashes")).alias("n_repeat_words"),
+        repeated_words(F.col("_pairs")).alias("n_repeat_words"),
         (total / F.greatest(n_grams, F.lit(1))).alias("log_ratio"),
     )
     failed = (F.col("n_words") < params.least_words) | (100 * F.col("n_repeat_words") > params.repeat_percent * F.col("n_words"))

@@ -93,6 +93,13 @@ def test_no_python_in_the_plan_and_empty_tables(spark, documents):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_no_lookup_per_character_and_no_slice_per_window(spark, documents):
+    """``translate`` looks every character up in a map, and a slice of eight words per window boxes each word eight times."""
+    plan = quality_rules.judge(documents([(1, "a b")]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
+    assert f", {quality_rules.WINDOW})" not in plan.replace("btrim", "")
+
+
 @pytest.mark.parametrize("name", ["sf0.001"])
 def test_supplied_labels(spark, name):
     """Labelled junk is rejected far more often than labelled good text."""
