@@ -166,9 +166,37 @@ def components(links: DataFrame, per_task: int = JoinParams.edges) -> DataFrame:
     return edges.select(F.col("u").alias("class"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("class"), F.col("v").alias("comp")).distinct())
 
 
-def _likeness(halves_of: np.ndarray, x: int) -> np.ndarray:
-    """Estimated similarity of each member with member ``x``."""
-    return (np.count_nonzero(halves_of == halves_of[x], axis=1) / halves_of.shape[1] - 1 / 16) / (15 / 16)
+def _words(halves_of: np.ndarray) -> np.ndarray:
+    """Half bytes, sixteen to a 64-bit number; what is left over is zero in every row."""
+    low = np.zeros((len(halves_of), -(-halves_of.shape[1] // 16) * 16), np.uint8)
+    low[:, : halves_of.shape[1]] = halves_of
+    return np.ascontiguousarray(low[:, ::2] * 16 + low[:, 1::2]).view(np.uint64)
+
+
+def _likeness(words: np.ndarray, x: int, places: int) -> np.ndarray:
+    """Estimated similarity of each member with member ``x``, from ``_words``."""
+    differs = words ^ words[x]
+    differs |= differs >> np.uint64(2)
+    differs |= differs >> np.uint64(1)
+    equal = places - np.bitwise_count(differs & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64)
+    return (equal / places - 1 / 16) / (15 / 16)
+
+
+class _Postings:
+    """Who holds which shingle, in a unit: how many shingles a member shares with each of the others, at once."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        sizes = [len(s) for s in sets]
+        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        self.holders = np.repeat(np.arange(len(sets)), sizes)[np.argsort(codes, kind="stable")]
+        self.ends = np.cumsum(np.bincount(codes))
+        self.codes = np.split(codes, np.cumsum(sizes)[:-1])
+
+    def shared(self, x: int) -> np.ndarray:
+        mine = self.codes[x]
+        starts = np.where(mine > 0, self.ends[mine - 1], 0)
+        held = [self.holders[a:b] for a, b in zip(starts, self.ends[mine])]
+        return np.bincount(np.concatenate(held), minlength=len(self.codes))
 
 
 def screened(halves_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, params: JoinParams) -> np.ndarray:
@@ -176,9 +204,10 @@ def screened(halves_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, params: J
     it has none; one of two candidates must ask."""
     first = np.arange(len(comp))
     active = np.zeros(len(comp), bool)
+    words = _words(halves_of)
     if (comp != comp[0]).any():
         for x in np.flatnonzero(ask):
-            near = (comp != comp[x]) & (_likeness(halves_of, x) >= params.candidate)
+            near = (comp != comp[x]) & (_likeness(words, x, halves_of.shape[1]) >= params.candidate)
             if near.any():
                 near[x] = True
                 active |= near
@@ -188,22 +217,36 @@ def screened(halves_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, params: J
     return np.where(active, first, -1)
 
 
+#: From more candidates than this on, a member is compared with all of them at once.
+FEW = 8
+
+
+def _similar(a: np.ndarray, b: np.ndarray, params: JoinParams) -> bool:
+    few, many = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+    shared = int(np.count_nonzero(many[at] == few))
+    return 100 * shared >= params.percent * (len(a) + len(b) - shared)
+
+
 def forest(ids: np.ndarray, halves_of: np.ndarray, comp: np.ndarray, ask: np.ndarray, sets: list[np.ndarray], params: JoinParams) -> list[tuple[int, int]]:
     """Links of a unit that join its components, each confirmed on full sets: a member's candidates in other components
     are tried, most alike first, until every one has been joined or refused."""
     comp, links = comp.copy(), []
     sizes = np.array([len(s) for s in sets])
+    words, postings = _words(halves_of), None
     for x in np.flatnonzero(ask):
-        like = _likeness(halves_of, x)
+        like = _likeness(words, x, halves_of.shape[1])
         fits = 100 * np.minimum(sizes, sizes[x]) >= params.percent * np.maximum(sizes, sizes[x])
         near = np.flatnonzero((comp != comp[x]) & (like >= params.candidate) & fits)
+        known = len(near) > FEW
+        if known:
+            postings = postings or _Postings(sets)
+            shared = postings.shared(x)[near]
+            near = near[100 * shared >= params.percent * (sizes[x] + sizes[near] - shared)]
         for y in near[np.argsort(-like[near], kind="stable")]:
             if comp[y] == comp[x]:
                 continue
-            few, many = (sets[x], sets[y]) if sizes[x] <= sizes[y] else (sets[y], sets[x])
-            at = np.minimum(np.searchsorted(many, few), len(many) - 1)
-            shared = int(np.count_nonzero(many[at] == few))
-            if 100 * shared >= params.percent * (sizes[x] + sizes[y] - shared):
+            if known or _similar(sets[x], sets[y], params):
                 links.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
                 comp[comp == comp[y]] = comp[x]
     return links

@@ -137,6 +137,33 @@ def test_a_unit_gives_a_forest():
     assert all(near[a] == near[b] >= 0 for a, b in links)
 
 
+def test_many_candidates_below_the_bound_are_refused_together(monkeypatch):
+    """Near copies that resemble each other to 0.65 to 0.75 are all candidates; comparing them pair by pair took a task seconds."""
+    rng = np.random.default_rng(5)
+    params = JoinParams(words=1)
+    base = rng.integers(0, 1 << 63, 200, np.uint64)
+    sets = [np.unique(np.r_[rng.permutation(base)[:170], rng.integers(0, 1 << 63, 20, np.uint64)]) for _ in range(150)]
+    sets.append(np.unique(np.r_[sets[3][:-10], rng.integers(0, 1 << 63, 10, np.uint64)]))
+    low = np.stack([(neardup.sketch_of(h, params) & 15).astype(np.uint8) for h in sets])
+    calls, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: calls.append(1) or search(*a, **k))
+    everyone = np.arange(len(sets))
+    links = neardup.forest(everyone, low, everyone, np.ones(len(sets), bool), sets, params)
+    alike = lambda a, b: 4 * len(np.intersect1d(sets[a], sets[b])) >= 3 * len(np.union1d(sets[a], sets[b]))
+    want = [(a, b) for b in range(len(sets)) for a in range(b) if alike(a, b)]
+    assert (3, 150) in links and set(links) <= set(want) and len(links) >= len({b for _, b in want}) - 1
+    assert len(calls) <= 8 * len(sets)
+
+
+@pytest.mark.parametrize("places", [96, 40])
+def test_likeness_counts_equal_places(places):
+    rng = np.random.default_rng(6)
+    low = rng.integers(0, 16, (50, places)).astype(np.uint8)
+    low[7, : places // 2] = low[3, : places // 2]
+    got = neardup._likeness(neardup._words(low), 3, places)
+    assert np.allclose(got, ((low == low[3]).mean(1) - 1 / 16) / (15 / 16))
+
+
 @pytest.mark.parametrize("seed", [9])
 def test_one_link_among_many_members_just_below_the_bound(spark, documents, seed):
     """Two hundred copies resemble a text to 0.70 and one to 0.76; at this seed at least four sketches look more alike
