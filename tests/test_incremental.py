@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from starmart.plans.incremental import BY_MONTH, IncrementalMart
 from starmart.plans.mart import Mart
 from starmart.sources import upsert
-from starmart.sources.versions import Store, WriteConflict
+from starmart.sources.versions import Change, Store, WriteConflict
 
 KIND = "key long, value string"
 
@@ -86,6 +86,25 @@ def test_upsert_of_overlapping_batches(spark, folder):
     assert empty.parts(name) == before
 
 
+def test_an_upsert_shuffles_batch_and_stored_rows_once(spark, folder, monkeypatch):
+    """One shuffle of either side decides the latest copies and what changed; only the gathering of buckets comes after."""
+    store, plans, scratch = Store(spark, folder), [], Change.scratch
+
+    def watched(change, name, rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return scratch(change, name, rows)
+
+    for price in (1, 2):
+        change = store.begin()
+        batch = raw(spark, sales=[sale(f"O{i}", "P1", price=Decimal(price), _ingested_at=dt.datetime(2024, 1, price)) for i in range(5)])["raw_sales"]
+        if price == 2:
+            monkeypatch.setattr(Change, "scratch", watched)
+        changed = upsert.upsert(change, upsert.SALES, batch, buckets=4)
+        change.commit()
+    assert sum(p.count("Exchange") for p in plans) == 2
+    assert {(r["old"]["price"], r["new"]["price"]) for r in changed.collect()} == {(1, 2)} and changed.count() == 5
+
+
 def shop(seed: int):
     """Customers, lines and ads over ten months; some customers never buy, some lines are nobody's."""
     draw = random.Random(seed)
