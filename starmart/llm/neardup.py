@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import cut, free_name, map_lists, scratch, text_of, with_text_value
+from starmart.llm.common import free_name, map_lists, scratch, text_of, with_text_value
 
 
 @dataclass(frozen=True)
@@ -118,8 +118,22 @@ def children(rows: DataFrame, params: JoinParams) -> DataFrame:
     return rows.select(F.explode(F.array_distinct(F.array(*paths))).alias("path"), "class", "n_shingles")
 
 
-def contracted(edges: DataFrame, tasks: int) -> DataFrame:
-    """Stars (u, v) that join what the edges (u, v) of each task join; v is the least of its star."""
+def stored(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, written by ``tasks`` tasks at most. Unlike a checkpoint's, its readers get as
+    many tasks as its size asks for, and Spark knows its size, so that joins broadcast it if it is small."""
+    folder = scratch(df.sparkSession)
+    (df.coalesce(max(1, tasks)) if tasks is not None else df).write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def files(rows: int, each: int = 4096) -> int:
+    """Tasks that write so many rows, a few thousand each."""
+    return -(-rows // each)
+
+
+def contracted(edges: DataFrame, tasks: int, centres: bool) -> DataFrame:
+    """Stars (u, v) that join what the edges (u, v) of each task join; v is the least of its star, itself named with
+    ``centres``."""
 
     def run(batches):
         root: dict[int, int] = {}
@@ -134,10 +148,12 @@ def contracted(edges: DataFrame, tasks: int) -> DataFrame:
             for u, v in zip(*[c.to_pylist() for c in batch.columns]):
                 u, v = find(u), find(v)
                 root[max(u, v)] = min(u, v)
-        pairs = [(x, r) for x in root if (r := find(x)) != x]
+        pairs = [(x, r) for x in root if (r := find(x)) != x or centres]
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
-    return edges.select("u", "v").coalesce(tasks).mapInArrow(run, "u long, v long")
+    # a table may have fewer splits than that
+    dealt_out = edges.select("u", "v").repartition(tasks) if tasks > 1 else edges.select("u", "v").coalesce(1)
+    return dealt_out.mapInArrow(run, "u long, v long")
 
 
 def components(links: DataFrame, per_task: int = JoinParams.edges) -> DataFrame:
@@ -147,17 +163,19 @@ def components(links: DataFrame, per_task: int = JoinParams.edges) -> DataFrame:
     every class hands its larger neighbours, then its smaller ones, to the least it knows. The rounds grow with the
     logarithm of a chain's length.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v"))
-    tasks = max(1, -(-edges.count() // per_task))
-    edges, mark = cut(contracted(edges, tasks)), None
-    while tasks > 1:
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v")
+    tasks = max(1, files(edges.count(), per_task))
+    edges, mark = stored(contracted(edges, tasks, centres=tasks == 1)), None
+    if tasks == 1:
+        return edges.select(F.col("u").alias("class"), F.col("v").alias("comp"))
+    while True:
         # v is the smaller end: larger neighbours of a class move to the least of it and its neighbours
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = cut(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
+        edges = stored(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == mark:
             break
@@ -288,27 +306,30 @@ def linked(units: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFra
     named = units.join(classes.select("class", "bytes"), "class").join(comps, "class", "left")
     named = named.select("part", "unit", "class", F.coalesce("comp", "class").alias("comp"), "bytes", "ask")
     schema = "unit long, class long, comp long, bytes binary, ask boolean, near long"
-    active = cut(named.groupBy("part").applyInArrow(screen, schema))
-    if active.isEmpty():
+    active = stored(named.groupBy("part").applyInArrow(screen, schema), files(units.count(), 1024))
+    members = active.count()
+    if not members:
         return links_of(docs, [])
 
     # classes that candidates connect meet once; if they are too many for a task, they meet in the units they came from
     groups = components(active.select(F.col("class").alias("a"), F.col("near").alias("b")))
-    ids = active.select("class").distinct().join(classes.select("class", "doc_id", "n_shingles"), "class").join(groups, "class")
-    ids = cut(ids.withColumnRenamed("comp", "near"))
+    ids = stored(classes.select("class", "doc_id", "n_shingles").join(groups.withColumnRenamed("comp", "near"), "class"))
     sizes = ids.groupBy("near").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
-    large = sizes.filter((F.col("n") > params.block) | (F.col("w") > params.weight)).select("near")
-    grouped = active.drop("near").join(ids.select("class", "near", "n_shingles"), "class")
-    once = grouped.join(large, "near", "left_anti").groupBy(F.col("near").alias("unit"), "class").agg(
-        F.first("comp").alias("comp"), F.first("bytes").alias("bytes"), F.lit(True).alias("ask"), F.first("n_shingles").alias("n_shingles")
+    large = sizes.filter((F.col("n") > params.block) | (F.col("w") > params.weight)).select("near", F.lit(True).alias("large"))
+    # the large ones are fewer than a block's part of the members
+    grouped = active.drop("near").join(ids.select("class", "near", "n_shingles"), "class").join(F.broadcast(large), "near", "left")
+    unit, ask = F.when(F.col("large"), F.col("unit")).otherwise(F.col("near")), F.col("large").isNull() | F.col("ask")
+    meets = stored(
+        grouped.select(unit.alias("unit"), "class", "comp", "bytes", ask.alias("ask"), "n_shingles")
+        .groupBy("unit", "class")
+        .agg(*[F.first(c).alias(c) for c in ("comp", "bytes")], F.max("ask").alias("ask"), F.first("n_shingles").alias("n_shingles")),
+        files(members),
     )
-    often = grouped.join(large, "near", "left_semi").select(*once.columns)
-    meets = cut(once.union(often))
     rows, weight = meets.agg(F.count("*"), F.sum("n_shingles")).first()
     tasks = max(1, -(-rows // 1024), -(-4 * weight // params.weight))
     meets = meets.drop("n_shingles").withColumn("part", F.pmod(F.xxhash64("unit"), F.lit(tasks)))
 
-    wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
+    wanted = ids.select(F.col("doc_id").alias("_id"))
     wanted = F.broadcast(wanted) if ids.count() <= params.broadcast_ids else wanted
     texts = docs.select("doc_id", text_of().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
 
@@ -328,7 +349,7 @@ def linked(units: DataFrame, comps: DataFrame, classes: DataFrame, docs: DataFra
             links += forest(ids, halves_of[rows], comp[rows], ask, own, params)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return cut(meets.join(sets, "class").groupBy("part").applyInArrow(confirm, LINK).distinct())
+    return stored(meets.join(sets, "class").groupBy("part").applyInArrow(confirm, LINK), 4 * tasks)
 
 
 LINK = "a long, b long"
@@ -347,38 +368,40 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     ids only has a null id and keeps its rows. Only doc_id and text are read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    folder = scratch(spark)
-    sketched(docs, params).write.parquet(f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
+    rows = stored(sketched(docs, params))
     # the sketch does not aggregate in place, so it is fetched by a row per class
     per_class = rows.filter("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("bytes").alias("bytes")
     )
-    per_class.write.parquet(f"{folder}/classes")
-    classes = spark.read.parquet(f"{folder}/classes")
-    links = links_of(docs, [])
+    classes = stored(per_class, files(rows.count()))
+    known = classes.count()
     comps = spark.createDataFrame([], "class long, comp long")
     for trees in filter(len, (range(1), range(1, params.trees))):
         paths = F.explode(F.array(*[F.lit(t).cast("long") for t in trees]))
         level = children(classes.select("class", "n_shingles", "sketch", paths.alias("path")), params)
+        most = known * len(trees)
         for depth in range(1, params.depth + 1):
-            level = cut(of_size(level, params))
+            level = stored(of_size(level, params), files(most * params.branches))
             if level.isEmpty():
                 break
-            links, comps = more_links(links, linked(grouped(level, params), comps, classes, docs, params), comps)
+            comps = joined_by(linked(grouped(level, params), comps, classes, docs, params), comps)
             large = level.filter("few > 1")
-            if large.isEmpty():
+            if not (members := large.count()):
                 break
-            split = cut(standing_outside(large, comps, params))
+            split = stored(standing_outside(large, comps, params), files(members))
             ends = F.lit(depth == params.depth) | (F.col("f") <= params.block)
             last = split.filter(ends)
             if not last.isEmpty():
-                links, comps = more_links(links, linked(dealt(last, params), comps, classes, docs, params), comps)
-            rest = split.filter(~ends).select("path", "class").join(classes.select("class", "n_shingles", "sketch"), "class")
-            level = children(rest, params)
-    of_component = classes.select("class", "doc_id").join(comps, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    least = of_component.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_class = of_component.join(least, "comp").select("class", "component_id")
+                comps = joined_by(linked(dealt(last, params), comps, classes, docs, params), comps)
+            rest = split.filter(~ends).select("path", "class")
+            if not (most := rest.count()):
+                break
+            level = children(rest.join(classes.select("class", "n_shingles", "sketch"), "class"), params)
+    # a class that nothing was linked with is a component of its own
+    own = classes.select("class", "doc_id")
+    least = own.join(comps, "class").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    of_class = own.join(comps.join(least, "comp").select("class", "component_id"), "class", "left")
+    of_class = of_class.select("class", F.coalesce("component_id", "doc_id").alias("component_id"))
     joined = rows.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
     return joined.select(
         "doc_id",
@@ -389,13 +412,12 @@ def near_duplicates(docs: DataFrame, params: JoinParams = JoinParams()) -> DataF
     )
 
 
-def more_links(links: DataFrame, new: DataFrame, comps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All links, and the components they make."""
+def joined_by(new: DataFrame, comps: DataFrame) -> DataFrame:
+    """The components that new links make of those there are."""
     if new.isEmpty():
-        return links, comps
+        return comps
     # a component's own links may go: its members name its least class
-    links = cut(comps.filter("class <> comp").select(F.col("class").alias("a"), F.col("comp").alias("b")).union(new))
-    return links, cut(components(links))
+    return components(comps.filter("class <> comp").select(F.col("class").alias("a"), F.col("comp").alias("b")).union(new))
 
 
 def of_size(level: DataFrame, params: JoinParams) -> DataFrame:
@@ -432,7 +454,8 @@ def standing_outside(large: DataFrame, comps: DataFrame, params: JoinParams) ->
     parts = named.groupBy("path", "comp").agg(F.count("*").alias("n"))
     nodes = parts.groupBy("path").agg(F.sum("n").alias("n"), F.count("*").alias("kinds"), F.max(F.struct("n", F.col("comp").alias("largest"))).alias("l"))
     nodes = nodes.filter("kinds > 1").select("path", (F.col("n") - F.col("l.n")).alias("f"), F.col("l.largest").alias("largest"))
-    return named.join(nodes, "path").select("path", "class", "few", "f", (F.col("comp") != F.col("largest")).alias("outside"))
+    # large nodes are fewer than a block's part of the members
+    return named.join(F.broadcast(nodes), "path").select("path", "class", "few", "f", (F.col("comp") != F.col("largest")).alias("outside"))
 
 
 def dealt(split: DataFrame, params: JoinParams) -> DataFrame:
@@ -455,9 +478,9 @@ def without_near_duplicates(docs: DataFrame, params: JoinParams = JoinParams())
     Rows without shingles all stay. What goes is joined by id and class, so that wide rows are shuffled only where the
     ids to drop are too many to broadcast, and rows that repeat an id and a text.
     """
-    result = cut(near_duplicates(docs, params).filter("class is not null").select("doc_id", "class", "kept"))
+    result = stored(near_duplicates(docs, params).filter("class is not null").select("doc_id", "class", "kept"))
     keys = result.groupBy("doc_id", "class").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n"))
-    keys = cut(keys.filter("not kept or n > 1"))
+    keys = stored(keys.filter("not kept or n > 1"))
     gone, again = keys.filter("not kept"), keys.filter("kept")
     name = free_name(docs, "_class")
 

@@ -177,3 +177,26 @@ def test_one_link_among_many_members_just_below_the_bound(spark, documents, seed
     assert alike[0] >= 0.75 and max(alike[1:]) < 0.75
     got = neardup.near_duplicates(documents([(i, " ".join(words)) for i, words in rows]), JoinParams(words=1)).collect()
     assert {r["component_id"] for r in got} == {0}
+
+
+def test_small_tables_take_few_tasks(spark, documents):
+    """A table of a few hundred rows is written and read by few tasks, however many partitions a shuffle has; 5,101 tasks
+    ran here when every step read and wrote as many."""
+    rows = corpus()
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    for key, value in held.items():
+        spark.conf.set(key, value)
+    spark.sparkContext.setJobGroup("few tasks", "")
+    try:
+        got = neardup.near_duplicates(documents(rows)).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted(expected(rows))
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("few tasks")]
+    stages = {stage for job in jobs if job for stage in job.stageIds}
+    tasks = sum(info.numCompletedTasks for stage in stages if (info := tracker.getStageInfo(stage)))
+    assert 0 < tasks < 1_500
