@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators import facts, staging
+from starmart.plans import queries
 from starmart.plans.mart import Mart
 from starmart.plans.queries import PARAMS, QUERIES, _staged_in_buckets, mart
 from starmart.sources.buckets import bucketed
@@ -98,6 +99,14 @@ def test_queries_read_staged_buckets(spark, name):
     assert "starmart_" in text and "lineitem.parquet" not in text
 
 
+@pytest.mark.parametrize("name", ["rollup_distinct", "cohort_activity", "check_kpi_rules"])
+def test_jobs_share_staged_buckets(spark, monkeypatch, name):
+    written, write = [], queries._written
+    monkeypatch.setattr(queries, "_written", lambda rows, path: (written.append(rows.columns), write(rows, path))[1])
+    QUERIES[name](spark, FOLDER)
+    assert [staging.SPREAD in columns for columns in written].count(True) == 1
+
+
 def test_campaigns_in_use(spark, folder):
     lean = _staged_in_buckets(mart(spark, FOLDER), folder)
     ids = {r["campaign_id"] for r in lean.used["dim_campaigns"].collect()}
