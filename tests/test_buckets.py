@@ -92,7 +92,7 @@ def test_lines_of_the_fact_are_not_shuffled(spark, folder):
     assert not re.search(r"Exchange hashpartitioning\((order_id|customer_id|product_id|campaign_id)", text)
 
 
-@pytest.mark.parametrize("name", ["fact_sales"])
+@pytest.mark.parametrize("name", ["fact_sales", "agg_growth_daily"])
 def test_queries_read_staged_buckets(spark, name):
     with settings(spark, aqe="false"):
         text = plan(QUERIES[name](spark, FOLDER))
@@ -113,3 +113,9 @@ def test_campaigns_in_use(spark, folder):
     named = {r["campaign_id"] for r in lean["stg_sales"].select("campaign_id").distinct().collect()} - {None}
     known = {r["campaign_id"] for r in lean["dim_campaigns"].collect()}
     assert ids == (named & known) | {"unknown", "unattributed"} and len(ids) < len(known) + 1
+
+
+def test_sums_move_with_the_orders_only(spark):
+    with settings(spark, aqe="false"):
+        text = plan(mart(spark, FOLDER)["agg_growth_daily"])
+    assert re.search(r"partial_sum\(CASE WHEN .*spark_grouping_id", text)
