@@ -92,7 +92,7 @@ def test_lines_of_the_fact_are_not_shuffled(spark, folder):
     assert not re.search(r"Exchange hashpartitioning\((order_id|customer_id|product_id|campaign_id)", text)
 
 
-@pytest.mark.parametrize("name", ["fact_sales", "agg_growth_daily", "agg_campaign_performance", "kpi_sales"])
+@pytest.mark.parametrize("name", ["fact_sales", "agg_growth_daily", "agg_campaign_performance", "kpi_sales", "kpi_campaign_region"])
 def test_queries_read_staged_buckets(spark, name):
     with settings(spark, aqe="false"):
         text = plan(QUERIES[name](spark, FOLDER))
