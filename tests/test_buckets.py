@@ -92,7 +92,7 @@ def test_lines_of_the_fact_are_not_shuffled(spark, folder):
     assert not re.search(r"Exchange hashpartitioning\((order_id|customer_id|product_id|campaign_id)", text)
 
 
-@pytest.mark.parametrize("name", ["fact_sales", "agg_growth_daily", "agg_campaign_performance", "kpi_sales", "kpi_campaign_region"])
+@pytest.mark.parametrize("name", ["fact_sales", "agg_growth_daily", "agg_campaign_performance", "agg_sales_daily", "kpi_sales", "kpi_campaign_region"])
 def test_queries_read_staged_buckets(spark, name):
     with settings(spark, aqe="false"):
         text = plan(QUERIES[name](spark, FOLDER))
@@ -107,6 +107,13 @@ def test_jobs_share_staged_buckets(spark, monkeypatch, name):
     assert [staging.SPREAD in columns for columns in written].count(True) == 1
 
 
+def test_daily_sales_are_shuffled_once_by_group(spark):
+    """The lines of a group meet once; campaigns that no line names do not make the lines move."""
+    with settings(spark, aqe="false"):
+        text = plan(mart(spark, FOLDER)["agg_sales_daily"])
+    assert len(re.findall(r"Exchange hashpartitioning\(report_date", text)) == 1
+
+
 def test_campaigns_in_use(spark, folder):
     lean = _staged_in_buckets(mart(spark, FOLDER), folder)
     ids = {r["campaign_id"] for r in lean.used["dim_campaigns"].collect()}
