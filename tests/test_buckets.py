@@ -126,3 +126,9 @@ def test_sums_move_with_the_orders_only(spark):
     with settings(spark, aqe="false"):
         text = plan(mart(spark, FOLDER)["agg_growth_daily"])
     assert re.search(r"partial_sum\(CASE WHEN .*spark_grouping_id", text)
+
+
+def test_customer_months_move_half_size_keys(spark):
+    with settings(spark, aqe="false", broadcast="-1"):
+        for name in ("agg_customer_segment", "agg_customer_cohort"):
+            assert "unhex(" in plan(mart(spark, FOLDER)[name])
