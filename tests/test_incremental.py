@@ -105,6 +105,20 @@ def test_an_upsert_shuffles_batch_and_stored_rows_once(spark, folder, monkeypatc
     assert {(r["old"]["price"], r["new"]["price"]) for r in changed.collect()} == {(1, 2)} and changed.count() == 5
 
 
+def test_an_upsert_writes_rows_twice_besides_the_table(spark, folder, monkeypatch):
+    """The typed batch and the merged rows; what changed is read from the latter, and parts are compressed."""
+    names, scratch = [], Change.scratch
+    monkeypatch.setattr(Change, "scratch", lambda change, name, rows: (names.append(name), scratch(change, name, rows))[1])
+    store = Store(spark, folder)
+    change = store.begin()
+    batch = raw(spark, sales=[sale(f"O{i}", "P1") for i in range(5)])["raw_sales"]
+    changed = upsert.upsert(change, upsert.SALES, batch, buckets=4)
+    change.commit()
+    assert names == ["stg_sales-batch", "stg_sales-merged"] and changed.count() == 5
+    files = change.read("stg_sales", upsert.SALES.typed(batch).schema).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def shop(seed: int):
     """Customers, lines and ads over ten months; some customers never buy, some lines are nobody's."""
     draw = random.Random(seed)
